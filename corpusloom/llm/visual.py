@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import checkpointed
+
 # Letters of other alphabets that have the shape of a Latin letter.
 LOOK_ALIKE = {
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ԛ": "Q", "Ԝ": "W", "Ү": "Y",
@@ -216,7 +218,8 @@ def same_looking(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     however many, are one row in the join; only classes that differ in their
     text are expanded to keys. Blank and null texts make no case.
     """
-    a, b = _classes(left, left_key, text), _classes(right, right_key, text)
+    # hashes and keys alone, read twice below: materialised so that each text is brought to its form once
+    a, b = checkpointed(_classes(left, left_key, text)), checkpointed(_classes(right, right_key, text))
     ca, cb = a.select("form", "raw").distinct(), b.select("form", F.col("raw").alias("other")).distinct()
     pairs = ca.join(cb, "form").where(F.col("raw") != F.col("other"))
     return pairs.join(a, ["form", "raw"]).join(b.withColumnRenamed("raw", "other"), ["form", "other"]).select(left_key, right_key).distinct()
