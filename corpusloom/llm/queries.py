@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import containers, mixing, neardup, split, visual
+from corpusloom.llm import containers, mixing, neardup, split, stuffing, visual
 from corpusloom.sources.tables import table
 
 
@@ -62,7 +62,17 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p7_containers, p7_assigned, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages made mainly of keywords, links, tags or products."""
+    return stuffing.pages(table(spark, d, "documents", "doc_id", "text")).where("stuffed").select("doc_id")
+
+
+def p9_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every page's measures."""
+    return stuffing.pages(table(spark, d, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
 
 SQL = {
     "p2_found": r"""
