@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import containers, mixing, neardup, split, stuffing, visual
+from corpusloom.llm import containers, mixing, neardup, scans, split, stuffing, visual
 from corpusloom.sources.tables import table
 
 
@@ -42,6 +42,20 @@ def p5_canonical(spark: SparkSession, d: str) -> DataFrame:
     return chunks.unionByName(results)
 
 
+def _scanned(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    return table(spark, d, "chunks").select("id", *more, "text", F.col("meta.source_file").alias("source_file"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks and the kinds of scanning noise in them."""
+    return scans.noise(_scanned(spark, d), table(spark, d, "source_files", "source_file", "title", "short_title"))
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every delivered chunk without scanning noise."""
+    return scans.repaired(_scanned(spark, d, "line_no"), table(spark, d, "source_files", "source_file", "title", "short_title"), key="line_no").select("line_no", "repaired")
+
+
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     """What each container of 2,048 tokens holds."""
     return containers.filled(containers.fill(table(spark, d, "documents", "doc_id", "text")))
@@ -72,7 +86,7 @@ def p9_pages(spark: SparkSession, d: str) -> DataFrame:
     return stuffing.pages(table(spark, d, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p6_found, p6_repaired, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
 
 SQL = {
     "p2_found": r"""
