@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import containers, mixing, neardup, scans, split, stuffing, visual
+from corpusloom.llm import containers, markup, mixing, neardup, scans, split, stuffing, visual
 from corpusloom.sources.tables import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks and the markup languages in them."""
+    return markup.found(table(spark, d, "chunks", "id", "text")).distinct()
+
+
+def p1_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every delivered chunk without markup."""
+    return markup.cleaned(table(spark, d, "chunks", "line_no", "text")).select("line_no", "clean", "markup")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Oversized chunks and the kind of boundary at which they fall into stretches."""
     pieces = split.split_oversized(table(spark, d, "chunks", "id", "text", "meta"))
@@ -86,7 +96,7 @@ def p9_pages(spark: SparkSession, d: str) -> DataFrame:
     return stuffing.pages(table(spark, d, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p6_found, p6_repaired, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p6_found, p6_repaired, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
 
 SQL = {
     "p2_found": r"""
