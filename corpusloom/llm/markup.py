@@ -370,6 +370,7 @@ def _from_html(x: str) -> str:
     x = re.sub(r"<pre\b[^>]*>(?:\s*<code\b[^>]*>)?(.*?)(?:</code\s*>\s*)?</pre\s*>", lambda m: "\n\n" + _indent(re.sub(r"<[^>]+>", "", m[1])) + "\n\n", x, flags=i)
     x = re.sub(r"<h([1-6])\b[^>]*>(.*?)</h\1\s*>", lambda m: _heading(m[2]), x, flags=i)
     x = re.sub(r"\s*</t[dh]\s*>\s*<t[dh]\b[^>]*>\s*", "\t", x, flags=i)
+    x = re.sub(r"</tr\s*>\s*<tr\b[^>]*>\s*(?:<t[dh]\b[^>]*>)?", "\n", x, flags=i)
     x = re.sub(r"<tr\b[^>]*>\s*(?:<t[dh]\b[^>]*>)?|</tr\s*>", "\n", x, flags=i)
     x = re.sub(r"[ \t]*<li\b[^>]*>\s*", "\n・", x, flags=i)
     x = re.sub(r"<img\b[^>]*?\balt\s*=\s*(?:\"([^\"]*)\"|'([^']*)')[^>]*>", lambda m: m[1] or m[2] or "", x, flags=i)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import containers, markup, mixing, neardup, scans, split, stuffing, visual
+from corpusloom.llm import containers, markup, mixing, neardup, pairs, scans, split, stuffing, visual
 from corpusloom.sources.tables import table
 
 
@@ -40,6 +40,11 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(table(spark, d, "chunks", "id", "text"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Defective question and answer pairs."""
+    return pairs.defects(table(spark, d, "qa_pairs", "pair_id", "question", "answer")).distinct()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Chunks and cleaning results that look the same but aren't the same characters."""
     return visual.same_looking(table(spark, d, "chunks", "id", "text"), table(spark, d, "clean_results", "result_id", "text"), "id", "result_id")
@@ -96,7 +101,7 @@ def p9_pages(spark: SparkSession, d: str) -> DataFrame:
     return stuffing.pages(table(spark, d, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_pieces, p3_found, p3_groups, p5_found, p5_canonical, p6_found, p6_repaired, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_pieces, p3_found, p3_groups, p4_found, p5_found, p5_canonical, p6_found, p6_repaired, p7_containers, p7_assigned, p8_mix, p8_shares, p9_found, p9_pages)}
 
 SQL = {
     "p2_found": r"""
