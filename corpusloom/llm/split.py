@@ -95,8 +95,9 @@ def pieces_of(text: str, limit: int = 1500, overlap: int = 100, measure: Measure
         return [(0, 0, 0, "end")]
     last = int(b.solid[-1]) + 1
     start = new = int(b.solid[0])
-    ends = [b.content_end(c) for c in b.cuts]
     marks = [(m.start(), m.end()) for m in _MARK.finditer(text)]
+    ends = [b.content_end(c) for c in b.cuts]
+    ends = [e[~np.isin(e, [hi for _, hi in marks])] for e in ends]  # a page mark stays with what follows it
     out: list[tuple[int, int, int, str]] = []
     while True:
         most = int(np.searchsorted(size, size[start] + limit, side="right")) - 1  # the furthest end under the limit
