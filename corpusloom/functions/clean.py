@@ -11,7 +11,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,11 +143,11 @@ def repair_lines(text: Column) -> Column:
     joined = rx.replace_all(joined, f"({rx.JP})\\n+\\s*({rx.JP})", r"\1\2")
 
     def mark(line: Column) -> Column:
-        bare = rx.strip(line)
-        apart = (bare == "") | bare.startswith("#")
-        return F.when(apart, F.concat(F.lit(other), line, F.lit(other_end))).otherwise(F.concat(F.lit(body), bare, F.lit(body_end)))
+        apart = (line["bare"] == "") | line["bare"].startswith("#")
+        return F.when(apart, F.concat(F.lit(other), line["raw"], F.lit(other_end))).otherwise(F.concat(F.lit(body), line["bare"], F.lit(body_end)))
 
-    marked = rx.unlines(F.transform(rx.lines(joined), mark))
+    pairs = F.transform(rx.lines(joined), lambda x: F.struct(x.alias("raw"), rx.strip(x).alias("bare")))
+    marked = rx.unlines(F.transform(pairs, mark))
     glued = F.regexp_replace(marked, f"(?<![{re.escape(LINE_ENDS)}]){body_end}\n{body}", "")
     return F.translate(glued, body + body_end + other + other_end, "")
 
@@ -164,47 +164,53 @@ def normalize_whitespace(text: Column) -> Column:
     return rx.strip(F.regexp_replace(text, r" {2,}", " "))
 
 
-def clean(
-    text: Column,
+def clean_rows(
+    df: DataFrame,
+    text: str = "text",
+    out: str = "cleaned",
     level: str = "basic",
     remove_toc: bool = True,
     remove_page_numbers: bool = True,
     unicode_form: bool = True,
     numbers: bool = True,
     line_breaks: bool = True,
-) -> Column:
-    """``struct(text, removed_lines, stats)`` of the whole cleaner.
+) -> DataFrame:
+    """``df`` with ``out``, the ``struct(text, removed_lines, stats)`` of the whole cleaner.
 
-    ``level='off'`` gives the text itself with no removed lines and null stats.
-    Null text gives a struct of nulls.
+    Every step is a projection of its own, so that its result is computed once
+    however often the next one refers to it. ``level='off'`` gives the text
+    itself with no removed lines and null stats. Null text gives null text and
+    null stats. An existing column ``out`` is replaced.
     """
     none = F.array().cast("array<string>")
+    kept = [c for c in df.columns if c != out]
     if level == "off":
-        return F.struct(text.alias("text"), none.alias("removed_lines"), F.lit(None).cast("struct<original_chars:int,cleaned_chars:int,removed_lines:int,reduction_rate:double>").alias("stats"))
-    now, gone = (nfkc(text) if unicode_form else text), []
-    if remove_page_numbers:
-        gone.append(page_number_lines(now))
-        now = drop_page_numbers(now)
-    gone.append(header_footer_lines(now))
-    now = drop_headers_footers(now)
+        stats = F.lit(None).cast("struct<original_chars:int,cleaned_chars:int,removed_lines:int,reduction_rate:double>")
+        return df.select(*kept, F.struct(F.col(text).alias("text"), none.alias("removed_lines"), stats.alias("stats")).alias(out))
+    now = df.select(*kept, (nfkc(F.col(text)) if unicode_form else F.col(text)).alias("__t"))
+
+    def mark(line: Column) -> Column:
+        page = _any_start(line, PAGE_NUMBER_LINES) if remove_page_numbers else F.lit(False)
+        return F.struct(line.alias("x"), page.alias("p"), _any_start(line, HEADER_FOOTER_LINES).alias("h"))
+
+    lines = lambda keep: F.transform(F.filter("__m", keep), lambda m: m["x"])
+    now = now.withColumn("__m", F.transform(rx.lines(F.col("__t")), mark))
+    now = now.withColumn("__gone", F.concat(lines(lambda m: m["p"]), lines(lambda m: ~m["p"] & m["h"]))).withColumn("__t", rx.unlines(lines(lambda m: ~m["p"] & ~m["h"])))
     if remove_toc:
-        parts = split_toc(now)
-        gone.append(parts["removed"])
-        now = parts["text"]
+        now = now.withColumn("__s", split_toc(F.col("__t"))).withColumn("__gone", F.concat("__gone", "__s.removed")).withColumn("__t", F.col("__s.text"))
     if line_breaks:
-        now = repair_lines(now)
+        now = now.withColumn("__t", repair_lines(F.col("__t")))
     if numbers:
-        now = normalize_numbers(now)
-    now = normalize_whitespace(now)
-    removed = F.concat(*gone)
-    before, after = F.length(text), F.length(now)
+        now = now.withColumn("__t", normalize_numbers(F.col("__t")))
+    now = now.withColumn("__t", normalize_whitespace(F.col("__t")))
+    before, after = F.length(text), F.length("__t")
     stats = F.struct(
         before.alias("original_chars"),
         after.alias("cleaned_chars"),
-        F.size(removed).alias("removed_lines"),
+        F.size("__gone").alias("removed_lines"),
         (F.lit(1.0) - after / F.greatest(before, F.lit(1))).alias("reduction_rate"),
     )
-    return F.struct(now.alias("text"), removed.alias("removed_lines"), F.when(text.isNotNull(), stats).alias("stats"))
+    return now.select(*kept, F.struct(F.col("__t").alias("text"), F.col("__gone").alias("removed_lines"), F.when(F.col(text).isNotNull(), stats).alias("stats")).alias(out))
 
 
 def clean_japanese(text: Column) -> Column:

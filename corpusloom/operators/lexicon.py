@@ -12,6 +12,7 @@ after another, which gives the same result because surfaces are tried in order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -52,23 +53,58 @@ def _slices(terms: DataFrame) -> list[list[tuple[str, str, str]]]:
 
 
 def _fold(slice_: list[tuple[str, str, str]], replace: bool):
+    """One pass over a slice of surfaces, in their order.
+
+    An automaton finds the surfaces in the text, so those that aren't there cost
+    nothing. What is put in may complete further surfaces: the automaton looks
+    again at the new stretch and its surroundings, and those still to be tried
+    join in. A surface found is looked for once more when its turn comes.
+    """
+    widest = max((len(term) for term, _, _ in slice_), default=0)
+    built: list = []
+
+    def automaton():
+        if not built:
+            import ahocorasick
+
+            a = ahocorasick.Automaton()
+            for i, (term, _, brief) in enumerate(slice_):
+                if brief:
+                    a.add_word(term, i)
+            if len(a):
+                a.make_automaton()
+            built.append(a)
+        return built[0]
+
     def step(state: pd.DataFrame) -> pd.DataFrame:
+        a = automaton()
         texts, logs = [], []
         for text, log in zip(state["text"], state["log"], strict=True):
             log = [] if log is None else list(log)
             used = {x["headword"] for x in log}
-            if text is not None:
-                for term, head, brief in slice_:
-                    if term in text and brief and (replace or head not in used):
-                        if replace:
-                            said = brief.split("。")[0]
-                            said = said[:50] + "..." if len(said) > 50 else said
-                            text = text.replace(term, said, 1)
-                        else:
-                            said = brief
-                            text = text.replace(term, f"{term}（{brief}）", 1)
-                            used.add(head)
-                        log.append({"term": term, "headword": head, "explanation": said})
+            if text and len(a):
+                seen = {i for _, i in a.iter(text)}
+                todo = sorted(seen)
+                while todo:
+                    i = heappop(todo)
+                    term, head, brief = slice_[i]
+                    at = text.find(term)
+                    if at < 0 or (not replace and head in used):
+                        continue
+                    said = brief
+                    if replace:
+                        said = brief.split("。")[0]
+                        said = said[:50] + "..." if len(said) > 50 else said
+                        new = said
+                    else:
+                        new = f"{term}（{brief}）"
+                        used.add(head)
+                    text = text[:at] + new + text[at + len(term) :]
+                    log.append({"term": term, "headword": head, "explanation": said})
+                    for _, k in a.iter(text[max(0, at - widest) : at + len(new) + widest]):
+                        if k > i and k not in seen:
+                            seen.add(k)
+                            heappush(todo, k)
             texts.append(text)
             logs.append(log)
         return pd.DataFrame({"text": texts, "log": logs})

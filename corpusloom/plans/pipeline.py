@@ -76,13 +76,13 @@ def quality_rows(df: DataFrame, order: str, scorer: quality.Scorer | None = None
 
 def cleaned(df: DataFrame, text: str = "text", min_chars: int = 20) -> DataFrame:
     """The cleaning job: text cleaned, fragments dropped, all other columns kept; rows without text are dropped."""
-    out = df.where(F.col(text).isNotNull()).withColumn(text, clean.clean(F.col(text))["text"])
+    out = clean.clean_rows(df.where(F.col(text).isNotNull()), text, "__c").withColumn(text, F.col("__c.text")).drop("__c")
     return out.where(clean.is_complete_sentence(F.col(text), min_chars))
 
 
 def cleaning_report(df: DataFrame, text: str = "text") -> DataFrame:
     """One row: rows in and out and the share of characters the cleaner removed."""
-    c = clean.clean(F.col(text))
-    rows = df.where(F.col(text).isNotNull()).select(F.length(text).alias("a"), F.length(c["text"]).alias("b"), clean.is_complete_sentence(c["text"]).alias("ok"))
+    rows = clean.clean_rows(df.where(F.col(text).isNotNull()).select(text), text, "__c")
+    rows = rows.select(F.length(text).alias("a"), F.length("__c.text").alias("b"), clean.is_complete_sentence(F.col("__c.text")).alias("ok"))
     kept = F.sum(F.when(F.col("ok"), F.col("b")).otherwise(0))
     return rows.agg(F.count("*").alias("rows_in"), F.count_if("ok").alias("rows_out"), (F.lit(1.0) - kept / F.greatest(F.sum("a"), F.lit(1))).alias("reduction"))

@@ -48,8 +48,8 @@ def latest_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaner(spark: SparkSession, d: str) -> DataFrame:
-    c = clean.clean(_t())
-    return chunks(spark, d).select("line_no", c["text"].alias("text"), c["removed_lines"].alias("removed_lines"), c["stats"]["reduction_rate"].alias("reduction_rate"))
+    rows = clean.clean_rows(chunks(spark, d))
+    return rows.select("line_no", "cleaned.text", "cleaned.removed_lines", "cleaned.stats.reduction_rate")
 
 
 def page_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -23,7 +23,7 @@ def read(spark: SparkSession, folder: str, schema: str = RECORD, files_per_trigg
 
 def cleaned(stream: DataFrame) -> DataFrame:
     """Safe, complete, cleaned texts with their token estimate."""
-    out = stream.where(F.col("text").isNotNull()).withColumn("text", clean.clean(F.col("text"))["text"])
+    out = clean.clean_rows(stream.where(F.col("text").isNotNull()), out="__c").withColumn("text", F.col("__c.text")).drop("__c")
     out = out.where(quality.is_safe(F.col("text")) & clean.is_complete_sentence(F.col("text")))
     return out.withColumn("est_tokens", pack.estimate_tokens(F.col("text")))
 

@@ -121,12 +121,13 @@ def test_against_plain(column, f, plain):
     assert column(f(F.col("text")), given) == [plain(x) for x in given]
 
 
-def test_cleaner_stats(column):
-    on, none = column(clean.clean(F.col("text")), ["１２\n本文　です。\n- 3 -", None])
+def test_cleaner_stats(spark):
+    df = spark.createDataFrame([(1, "１２\n本文　です。\n- 3 -", 0), (2, None, 0)], "i int, text string, cleaned int")
+    on, none = (r["cleaned"] for r in clean.clean_rows(df).orderBy("i").collect())
     assert on["removed_lines"] == ["12", "- 3 -"] and on["text"] == "本文 です。" and on["stats"]["original_chars"] == 15
-    assert none["text"] is None and none["stats"] is None
-    off = column(clean.clean(F.col("text"), level="off"), [" x "])[0]
-    assert off["text"] == " x " and off["removed_lines"] == [] and off["stats"] is None
+    assert none["text"] is None and none["stats"] is None and clean.clean_rows(df).columns == ["i", "text", "cleaned"]
+    off = clean.clean_rows(df, level="off").orderBy("i").first()["cleaned"]
+    assert off["text"].startswith("１２") and off["removed_lines"] == [] and off["stats"] is None
 
 
 def test_long_text(column):

@@ -35,6 +35,32 @@ def test_folds(spark, terms):
     assert lexicon.generalize(df, terms, changed_only=True).count() == 1
 
 
+def plain_fold(text, entries, replace):
+    used = set()
+    for term, head, brief in entries:
+        if term in text and brief and (replace or head not in used):
+            said = brief.split("。")[0]
+            text = text.replace(term, (said[:50] + "..." if len(said) > 50 else said) if replace else f"{term}（{brief}）", 1)
+            used.add(head)
+    return text
+
+
+def test_folds_against_plain(spark):
+    rng = random.Random(8)
+    word = lambda a, b: "".join(rng.choice("あいう") for _ in range(rng.randint(a, b)))
+    rows = [(i, word(1, 4), rng.choice(["", word(1, 6), word(1, 3) + "。" + word(1, 3), word(55, 60)]), "d", [word(1, 3)], "", 1.0) for i in range(25)]
+    t = spark.createDataFrame(rows, TERM_SCHEMA)
+    known = {}
+    for _, h, b, _, s, _, _ in rows:
+        known[h] = (h, b)
+        known[s[0]] = (h, b)
+    entries = [(k, *known[k]) for k in sorted(known, key=len, reverse=True)]
+    texts = [(i, word(0, 30)) for i in range(200)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    assert {r["id"]: r["text"] for r in lexicon.elaborate(df, t).collect()} == {i: plain_fold(x, entries, False) for i, x in texts}
+    assert {r["id"]: r["text"] for r in lexicon.generalize(df, t).collect()} == {i: plain_fold(x, entries, True) for i, x in texts}
+
+
 def test_folds_in_slices(spark, terms, monkeypatch):
     df = spark.createDataFrame([(1, "ガスベアリングとガス軸受と軸受。")], "id int, text string")
     whole = [lexicon.elaborate(df, terms).first(), lexicon.generalize(df, terms).first(), sorted(map(tuple, lexicon.find_terms(df, terms, "id").select("rank", "surface").collect()))]
