@@ -228,7 +228,7 @@ def dense(question: str | None, answer: str | None) -> list[float]:
 
 def hashed(answer: str | None) -> set[int]:
     """Buckets of the answer's character n-grams; digits are one character, and the end is told from the rest."""
-    a = re.sub(r"\d+", "0", (answer or "").strip().lower())[:4000] if len(answer or "") <= 4000 else re.sub(r"\d+", "0", (answer or "").strip().lower())
+    a = re.sub(r"\d+", "0", (answer or "").strip().lower())
     out: set[int] = set()
     for n in (2, 3, 4):
         out.update(crc32(a[i : i + n].encode()) % BUCKETS for i in range(len(a) - n + 1))
