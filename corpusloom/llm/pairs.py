@@ -164,7 +164,10 @@ def dense(question: str | None, answer: str | None) -> list[float]:
     if last_entry:
         sizes = [len(_BULLET.sub("", x).strip()) for x in entries]
         short = len(sizes) > 1 and sizes[-1] < 0.6 * sum(sizes[:-1]) / (len(sizes) - 1)
-        f[6] = float(any(x.rstrip()[-2:] == rows[-1].rstrip()[-2:] for x in entries[:-1]))
+        final, others = rows[-1].rstrip(), entries[:-1]
+        joints = [c for c in "のをにへでと" if others and all(c in x for x in others)]
+        built = bool(joints) and all(c in final and len(final) - final.rindex(c) > 2 for c in joints)  # like the entries before it
+        f[6] = float(built or any(x.rstrip()[-2:] == final[-2:] for x in others))
         f[7] = float(short)
         f[8] = float(bool(re.search(r"[のをにがはとでもへや、,・(（]$|^\s*[・•-]?\s*$", _BULLET.sub("・", rows[-1]))))
     plain = not f[4] and not value and not last_entry and not empty
@@ -337,7 +340,7 @@ def training(sample: list[tuple[str | None, str | None]], seed: int = 5) -> tupl
             main = max(own, key=lambda k: own[k])
             if own[main] > 0.9 * sum(own.values()) and main in by_language and len(by_language[main]) < 400:
                 by_language[main].append(a)
-    n = max(1, len(good) // 4)
+    n = max(800, len(good) // 4)
     for _ in range(n):
         q, a = rng.choice(good) if good else ("これは何ですか?", "これは例です。")
         hollow = rng.choice(["", " ", "　", "\n", "​", "。", "...", "…", "-", "—", "{}", "[]", "()", "```\n```", "&nbsp;", '{"answer": ""}', '{"answer": null}', "A:", "A.", "Answer:", "回答:", "回答: ", "答:", *PLACEHOLDERS])
@@ -380,13 +383,16 @@ def fit(x: np.ndarray, labels: np.ndarray, sound: int = 0, trust: float = 1.0, r
     y = labels.astype(np.float32)
     # what an answer says tells refusals and broken ends; the others follow from the pair, whatever it is about
     free = np.ones((x.shape[1], y.shape[1]), dtype=np.float32)
-    free[:BUCKETS, [DEFECTS.index(n) for n in ("empty", "copy", "language")]] = 0
+    for name, own in (("empty", [0, 1, 2]), ("copy", [0, *range(15, 20)]), ("language", [0, *range(20, 25)])):
+        k = DEFECTS.index(name)
+        free[:, k] = 0
+        free[[BUCKETS + i for i in own], k] = 1
     held = rng.random(len(y)) < 0.25
     a, b = x[~held], y[~held]
-    own = np.where(np.arange(len(y)) < sound, trust, 1.0).astype(np.float32)[~held, None]
+    mine = np.where(np.arange(len(y)) < sound, trust, 1.0).astype(np.float32)[~held, None]
     w = np.zeros((x.shape[1], y.shape[1]), dtype=np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    weight = (1.0 + b * 2.0) * own
+    weight = (1.0 + b * 2.0) * mine
     for step in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         g = (a.T @ ((p - b) * weight) / len(a) + 2e-5 * w) * free
