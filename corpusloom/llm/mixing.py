@@ -148,7 +148,6 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """
     used = mixed.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("uses"), F.count_if(F.col("repeat") == 1).alias("records"), F.max("repeat").alias("most_repeats"))
     rows = targets.select("source", "target_share", "max_repeats").join(used, "source", "left").fillna(0, ["tokens", "uses", "records", "most_repeats"])
-    all_tokens = rows.agg(F.sum("tokens").alias("all_tokens"))
+    all_tokens = rows.agg(F.sum("tokens").alias("all_tokens")).withColumn("one", F.lit(1))
     share = F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens")).otherwise(F.lit(0.0))
-    # one row beside the list of targets
-    return rows.crossJoin(F.broadcast(all_tokens)).select("source", "target_share", share.alias("share"), "tokens", "uses", "records", "most_repeats", "max_repeats")
+    return rows.withColumn("one", F.lit(1)).join(all_tokens, "one").select("source", "target_share", share.alias("share"), "tokens", "uses", "records", "most_repeats", "max_repeats")
