@@ -171,9 +171,9 @@ def pack(df: DataFrame, group: str, pos: str, text: str = "text", limit: int = 2
 
 def pack_stats(df: DataFrame, packs: DataFrame) -> DataFrame:
     """One row: texts before, packs after, their ratio and the mean tokens of a pack; null ratios on empty input."""
-    before = df.where(F.coalesce("text", F.lit("")) != "").agg(F.count("*").alias("texts"))
-    after = packs.agg(F.count("*").alias("packs"), F.avg("tokens").alias("mean_tokens"))
-    return before.crossJoin(after).withColumn("ratio", F.when(F.col("packs") > 0, F.col("texts") / F.col("packs")))
+    before = df.where(F.coalesce("text", F.lit("")) != "").agg(F.count("*").alias("texts")).withColumn("one", F.lit(1))
+    after = packs.agg(F.count("*").alias("packs"), F.avg("tokens").alias("mean_tokens")).withColumn("one", F.lit(1))
+    return before.join(after, "one").drop("one").withColumn("ratio", F.when(F.col("packs") > 0, F.col("texts") / F.col("packs")))
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
