@@ -253,11 +253,20 @@ def histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def steps(spark: SparkSession, d: str) -> DataFrame:
-    available = pipeline.steps(terms(spark, d), table(spark, d, "graph_edges"))
-    out = pipeline.run(_base(spark, d), "dictionary,elaboration,generalized,keywords,graph", available)
+    available = pipeline.steps(terms(spark, d), table(spark, d, "graph_edges"), generate.stand_in)
+    out = pipeline.run(_base(spark, d), "all", available)
     return out.groupBy("step_rank", "source").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
+def quality_rows(spark: SparkSession, d: str) -> DataFrame:
+    scorer = quality.trigram_scorer(["図に示すように、値は単調に増加する。装置の寿命を測定した。", "The signal was sampled and filtered."])
+    return pipeline.quality_rows(table(spark, d, "documents", "doc_id", "text"), "doc_id", scorer).select("doc_id")
+
+
+def cleaned(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.cleaned(chunks(spark, d))
+
+
 def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.cleaning_report(chunks(spark, d))
 
@@ -308,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "c13_blank_before_headings": _text(clean.blank_before_headings),
     "c14_headings": _text(clean.normalize_headings),
     "c15_complete_sentence": sentences,
+    "c17_cleaned": cleaned,
     "c17_cleaning_report": cleaning_report,
     "c18_pages": page_span,
     "c19_figures": figures,
@@ -322,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "q2_near_first": near_first,
     "q3_exact_first": exact_first,
     "q4_perplexity": perplexity,
+    "q5_quality_rows": quality_rows,
     "d1_definitions_all": _definitions("all"),
     "d1_definitions_qa": _definitions("qa"),
     "d2_surfaces": surfaces,

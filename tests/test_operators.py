@@ -1,6 +1,7 @@
 """Relational operators against plain versions on small tables."""
 
 import json
+import os
 import random
 
 import pytest
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions import chunking, prompts
 from corpusloom.operators import dedup, generate, layout, lexicon, merge, pack, quality, relations
 from corpusloom.plans import pipeline
+from corpusloom.plans.queries import QUERIES
 from corpusloom.sources import dictionary, jsonl, pdf, tables
 
+DATA = "/root/testdata/sf0.001"
 TERMS = [
     (0, "ガス軸受", "空気で回転軸を支持する技術", "詳細。", ["ガスベアリング"], "機械工学", 1.0),
     (1, "軸受", "軸を支える部品", "", [], "", 0.8),
@@ -285,3 +288,32 @@ def test_pipeline_resumes(spark, terms, tmp_path):
 def test_latest(spark):
     df = spark.createDataFrame([("a", 1, 5, "old"), ("a", 2, 6, "new"), ("a", 3, 6, "newer"), (None, 4, 1, "n"), (None, 5, 1, "m")], "id string, line_no int, loaded_at int, text string")
     assert sorted(r["text"] for r in tables.latest(df, "id").collect()) == ["m", "n", "newer"]
+
+
+def test_all_steps_have_rows(spark):
+    if not os.path.isdir(DATA):
+        pytest.skip("no test tables")
+    rows = QUERIES["m5_steps"](spark, DATA).collect()
+    n = {(r["step_rank"], r["source"]): r["n"] for r in rows}
+    assert sorted(n) == list(enumerate(["extract", "dictionary", "elaboration", "generalized", "keywords", "qa", "english", "graph_relations"]))
+    assert n[6, "english"] == n[0, "extract"] and n[5, "qa"] == 3 * n[4, "keywords"]
+
+
+def test_quality_order(spark):
+    safe = "one two three four five six seven eight nine ten"
+    rows = [(0, safe + " a@b.jp"), (1, safe), (2, safe + " "), (3, "worse text"), (4, None), (5, "another one")]
+    df = spark.createDataFrame(rows, "k int, text string")
+    scorer = lambda xs: [1e9 if "worse" in x else 1.0 for x in xs]
+    assert sorted(r["k"] for r in pipeline.quality_rows(df, "k", scorer).collect()) == [1, 5]  # row 0 isn't safe, so it makes row 1 no duplicate
+    assert sorted(r["k"] for r in pipeline.quality_rows(df, "k").collect()) == [1, 3, 5]
+    if os.path.isdir(DATA):
+        ids = {name: {r["doc_id"] for r in QUERIES[name](spark, DATA).collect()} for name in ("q1_safe", "q4_perplexity", "q5_quality_rows")}
+        assert ids["q5_quality_rows"] and ids["q5_quality_rows"] <= ids["q1_safe"] & ids["q4_perplexity"]
+
+
+def test_cleaned_agrees_with_report(spark):
+    if not os.path.isdir(DATA):
+        pytest.skip("no test tables")
+    report = QUERIES["c17_cleaning_report"](spark, DATA).first()
+    rows = QUERIES["c17_cleaned"](spark, DATA)
+    assert rows.columns == ["line_no", "text"] and rows.count() == report["rows_out"] > 0
