@@ -1,6 +1,7 @@
 """Repairing text that was read from scanned pages.
 
-The corpus teaches what its words are. A first pass counts words: katakana and
+The corpus teaches what its words are. Its distinct texts count, each once,
+however many rows are copies. A first pass counts words: katakana and
 Latin words, and pairs of neighbouring characters around kanji that are easily
 taken for another. Words with a plausible glyph edit into one that is many
 times more frequent are linked to it. A second pass counts the contexts of
@@ -255,6 +256,11 @@ def batches_of(texts: list[str | None], most: int = 600_000) -> Iterator[tuple[l
         yield rows, Batch(held)
 
 
+def distinct_texts(df: DataFrame, text: str = "text") -> DataFrame:
+    """One row per distinct text, null left out; copies are folded where they are, so a text any number of rows share sends one row per task."""
+    return df.where(F.col(text).isNotNull()).groupBy(F.md5(text).alias("__md5")).agg(F.first(text).alias(text)).select(text)
+
+
 def count_units(df: DataFrame, text: str = "text") -> DataFrame:
     """``(unit, n)`` over all rows: katakana words, Latin words, and kanji with a neighbour, marked by its side.
 
@@ -427,8 +433,10 @@ def learn(df: DataFrame, text: str = "text", fit: float = -3.0) -> Lexicon:
     """The lexicon of a corpus: frequent words and the misread forms whose contexts fit theirs.
 
     ``fit`` is the least mean score of the word's vector with the contexts of
-    the form; unrelated words score far below.
+    the form; unrelated words score far below. Counts are over distinct texts:
+    a form isn't sound because the text that holds it was delivered many times.
     """
+    df = distinct_texts(df, text)
     units = checkpointed(count_units(df, text))
     words, found = links(units)
     kept: dict[str, str] = {}

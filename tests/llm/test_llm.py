@@ -285,6 +285,16 @@ def test_scan_repair(spark):
     assert got["n3"].split() == ["the", "temperature", "was", "measured"] and got["n4"] == "測定値 (mm)\n612\n490\n305"
 
 
+def test_scan_copies_dont_make_a_form_sound(spark):
+    df, files = scan_frame(spark)
+    copies = spark.range(160).select(F.concat(F.lit("c"), "id").alias("id"), F.lit("ロ一タの温度と熟流束を測定した。").alias("text"), F.lit("f.pdf").alias("source_file"))
+    df = df.unionByName(copies)  # a third of all rows
+    found = {r["id"] for r in scans.noise(df, files).where("noise = 'misread'").collect()}
+    assert found == {"n2", "n5"} | {f"c{i}" for i in range(160)}
+    fixed = scans.repaired(df, files).where("id like 'c%'").groupBy("repaired").count().collect()
+    assert [tuple(r) for r in fixed] == [("ロータの温度と熱流束を測定した。", 160)]
+
+
 def test_page_lines():
     yes = ["12", "  12  ", "- 3 -", "— 14 —", "−5−", "・7・", "3/53", "P.3", "p. 7", "Page 595", "58ページ", "21 頁", "[28]", "〔300〕"]
     no = ["3.5", "12 mm", "第1章", "・3", "<!-- Page 3 -->", "2013年", "", "a1", "1,2,3"]
