@@ -7,9 +7,10 @@ taken for another. Words with a plausible glyph edit into one that is many
 times more frequent are linked to it. A second pass counts the contexts of
 linked words, from which skip-gram vectors are trained; a link stays if the
 contexts of the rare form fit the vector of the frequent one. What is left is
-a lexicon of misreadings. It is bounded by the frequent words and the glyph
-edits, not by the corpus, and is what the workers get to find and correct
-misread words in their text.
+a lexicon of misreadings, which the workers get to find and correct misread
+words in their text. Linking is a join and vectors are trained in groups of
+links, so neither the words nor the links have to fit in one place; the lexicon
+holds the misread forms, 8 bytes per katakana word, and kanji pairs.
 
 Words split over line ends are joined first, so that halves aren't words.
 Furniture are page numbers in any dress and running heads, which are the
@@ -20,6 +21,7 @@ lines meet the titles in a join of small rows, never the texts.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -49,8 +51,12 @@ HYPHENS = "-‐‑­¬"
 
 #: How many times more frequent the right word must be, and how often it must occur.
 RATIO, LEAST = 15, 8
-#: Words and misreadings a lexicon may hold; it goes to every worker.
-MOST_WORDS = 1_000_000
+#: Bits of the filter that keeps most edits that are no words out of the join: more words only let more edits through.
+FILTER = 1 << 27
+#: Links whose vectors are trained together, on average.
+TOGETHER = 2_500
+#: Longest word and form.
+LONGEST = 40
 #: Context buckets, context width, vector length.
 BUCKETS, WIDTH, LENGTH = 512, 3, 24
 
@@ -273,7 +279,7 @@ def count_units(df: DataFrame, text: str = "text") -> DataFrame:
         for b in batches:
             for _, words in batches_of(list(b["x"])):
                 size = words.end - words.start
-                ok = (words.latin & (size >= 3) | (words.run == 3) & (size >= 2)) & (size <= 40)
+                ok = (words.latin & (size >= 3) | (words.run == 3) & (size >= 2)) & (size <= LONGEST)
                 which = np.flatnonzero(ok)
                 key, first, n = np.unique(words.hash[which], return_index=True, return_counts=True)
                 for h, k, c in zip(key.tolist(), which[first].tolist(), n.tolist(), strict=True):
@@ -321,71 +327,93 @@ def edits(unit: str, most: int = 3) -> set[str]:
 
 
 class Lexicon(NamedTuple):
-    """Frequent words, what misread forms stand for, and frequent kanji pairs that are none.
+    """Frequent katakana words, what misread forms stand for, and frequent kanji pairs that are none.
 
-    Kanji pairs have a mark for the side of their neighbour.
+    Words are sorted hashes, those with a sign taken for katakana apart. Kanji
+    pairs have a mark for the side of their neighbour; there are those around
+    kanji of misread pairs.
     """
 
-    words: dict[str, int]
+    words: np.ndarray
+    signed: np.ndarray
     misread: dict[str, str]
     pairs: frozenset[str] = frozenset()
 
 
-def links(units: DataFrame) -> tuple[dict[str, int], list[tuple[str, str, int, int]]]:
-    """Frequent units with their counts, and ``(form, word, n, of)`` for forms that a glyph edit turns into one.
+def _filter(words: DataFrame) -> bytes:
+    """A bit for the checksum of each ``unit``; up to ``FILTER`` bits, whatever the number of words."""
+    bit = F.crc32("unit") % FILTER
+    slots = words.select(F.floor(bit / 64).cast("int").alias("slot"), (bit % 64).cast("int").alias("b"))
+    bits = np.zeros(FILTER // 64, dtype="<i8")
+    for r in slots.groupBy("slot").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("w")).toLocalIterator():
+        bits[r["slot"]] = r["w"]
+    return bits.tobytes()
 
-    Units that make up less than a millionth of all are no frequent words, so
-    there are at most a million of these; every form is linked where the units
-    are, and only forms whose word is in the list come back.
+
+def links(units: DataFrame) -> DataFrame:
+    """``(form, word, n, of)`` for forms that a glyph edit turns into a unit that is ``RATIO`` times as frequent: the most frequent such.
+
+    Edits meet the words in a join. A filter of fixed size leaves out most of
+    those that are no words before; what it lets through in vain costs a row.
     """
-    total = units.agg(F.sum("n")).first()[0] or 0
-    floor = max(LEAST, total // MOST_WORDS)
-    words = {r["unit"]: r["n"] for r in units.where(F.col("n") >= floor).toLocalIterator()}
+    words = units.where(F.col("n") >= max(LEAST, RATIO))  # a form occurs once at least
+    known = _filter(words)
 
-    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for b in batches:
-            out = []
             for unit, n in zip(b["unit"], b["n"], strict=True):
-                best = max(((words[w], w) for w in edits(unit) if w in words), default=None)
-                if best and best[0] >= RATIO * n:
-                    out.append((unit, best[1], n, best[0]))
-            yield pd.DataFrame(out, columns=["form", "word", "n", "of"])
+                for w in edits(unit):
+                    h = zlib.crc32(w.encode()) % FILTER
+                    if known[h >> 3] >> (h & 7) & 1:
+                        out.append((unit, w, n))
+                if len(out) > 100_000:
+                    yield pd.DataFrame(out, columns=["form", "word", "n"])
+                    out = []
+        yield pd.DataFrame(out, columns=["form", "word", "n"])
 
-    found = units.mapInPandas(link, "form string, word string, n long, of long").limit(MOST_WORDS + 1).collect()
-    if len(found) > MOST_WORDS:  # more forms than glyph edits of frequent words can make
-        raise ValueError("more misread forms than a lexicon may hold")
-    return words, [tuple(r) for r in found]
+    proposed = units.mapInPandas(propose, "form string, word string, n long")
+    met = proposed.join(words.select(F.col("unit").alias("word"), F.col("n").alias("of")), "word").where(F.col("of") >= RATIO * F.col("n"))
+    return met.groupBy("form", "n").agg(F.max(F.struct("of", "word")).alias("best")).select("form", "best.word", "n", "best.of")
 
 
-def contexts(df: DataFrame, known: list[str], text: str = "text") -> np.ndarray:
-    """Counts of context buckets within ``WIDTH`` words of each unit in ``known``, over all rows."""
-    plain = [(word_hash(u), i) for i, u in enumerate(known) if u[0] not in "<>"]
-    pairs = [(pair_key(u), i) for i, u in enumerate(known) if u[0] in "<>"]
-    cells_of = len(known) * BUCKETS
+def contexts(df: DataFrame, known: list[str], text: str = "text") -> DataFrame:
+    """``(unit, bucket, n)``: counts of context buckets within ``WIDTH`` words of each unit in ``known``, by its number, over all rows."""
 
-    def find(index: list[tuple[int, int]], kind: type, keys: np.ndarray) -> np.ndarray:
+    def index(units: list[tuple[int, int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+        have, number = np.array([k for k, _ in units], dtype=kind), np.array([i for _, i in units], dtype=np.int64)
+        order = np.argsort(have)
+        return have[order], number[order]
+
+    plain = index([(word_hash(u), i) for i, u in enumerate(known) if u[0] not in "<>"], np.uint64)
+    pairs = index([(pair_key(u), i) for i, u in enumerate(known) if u[0] in "<>"], np.int64)
+
+    def find(index: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
         """The unit of each key, or -1."""
-        if not index:
+        have, unit = index
+        if not len(have):
             return np.full(len(keys), -1)
-        have = np.array([k for k, _ in index], dtype=kind)
-        order = np.argsort(have)
-        have, unit = have[order], np.array([i for _, i in index])[order]
         at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
         return np.where(have[at] == keys, unit[at], -1)
 
+    def fold(cells: list[np.ndarray]) -> pd.DataFrame:
+        cell, n = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *cells]), return_counts=True)
+        return pd.DataFrame({"cell": cell, "n": n})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(cells_of, dtype=np.int64)
+        held: list[np.ndarray] = []
+        size = 0
         for b in batches:
             for _, words in batches_of(list(b["x"])):
                 bucket = (words.hash >> np.uint64(40)).astype(np.int64) % BUCKETS
                 where, who = [], []
-                unit = find(plain, np.uint64, words.hash)
+                unit = find(plain, words.hash)
                 hit = np.flatnonzero(unit >= 0)
                 where.append(hit)
                 who.append(unit[hit])
                 inside = np.searchsorted(words.start, words.at, side="right") - 1
                 for keys in (words.left, words.right):
-                    unit = find(pairs, np.int64, keys)
+                    unit = find(pairs, keys)
                     hit = np.flatnonzero((unit >= 0) & (inside >= 0))
                     where.append(inside[hit])
                     who.append(unit[hit])
@@ -394,15 +422,15 @@ def contexts(df: DataFrame, known: list[str], text: str = "text") -> np.ndarray:
                     p = at + d
                     ok = (p >= 0) & (p < len(bucket))
                     ok[ok] = words.doc[p[ok]] == words.doc[at[ok]]
-                    total += np.bincount(units[ok] * BUCKETS + bucket[p[ok]], minlength=cells_of)
-        hit = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": hit, "n": total[hit]})
+                    held.append(units[ok] * BUCKETS + bucket[p[ok]])
+                    size += len(held[-1])
+                if size > 4_000_000:
+                    yield fold(held)
+                    held, size = [], 0
+        yield fold(held)
 
     cells = df.select(F.col(text).alias("x")).mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(cells_of)
-    for r in cells.toLocalIterator():  # at most a cell per known unit and bucket
-        out[r["cell"]] = r["n"]
-    return out.reshape(len(known), BUCKETS)
+    return cells.select(F.floor(F.col("cell") / BUCKETS).alias("unit"), (F.col("cell") % BUCKETS).alias("bucket"), "n")
 
 
 def skip_gram(counts: np.ndarray, rounds: int = 120, negative: float = 1.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -429,6 +457,38 @@ def skip_gram(counts: np.ndarray, rounds: int = 120, negative: float = 1.0, seed
     return w, c
 
 
+def fitting(df: DataFrame, found: DataFrame, text: str = "text", fit: float = -3.0) -> DataFrame:
+    """``(form, word)`` of the links whose contexts fit.
+
+    Vectors are trained for about ``TOGETHER`` links at a time, in a task each;
+    a link's form and word are always together.
+    """
+    groups = max(1, -(-found.count() // TOGETHER))
+    linked = found.select("form", "word", (F.crc32("form") % groups).alias("part"))
+    ends = linked.select("part", F.explode(F.array("form", "word")).alias("name")).distinct()
+    known = sorted(r["name"] for r in ends.select("name").distinct().toLocalIterator())
+    if not known:
+        return linked.select("form", "word")
+    numbers = df.sparkSession.createDataFrame(pd.DataFrame({"name": known, "unit": range(len(known))}), "name string, unit long")
+    cells = ends.join(numbers, "name").join(contexts(df, known, text), "unit").select(F.col("part").alias("group"), "name", "bucket", "n")
+
+    def judge(own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        names = sorted({*own["form"], *own["word"]})
+        number = {u: i for i, u in enumerate(names)}
+        counts = np.zeros((len(names), BUCKETS))
+        counts[cells["name"].map(number).to_numpy(dtype=np.int64), cells["bucket"].to_numpy(dtype=np.int64)] = cells["n"]
+        w, c = skip_gram(counts)
+        kept = []
+        for form, word in zip(own["form"], own["word"], strict=True):
+            x = counts[number[form]]
+            score = float((x * (c @ w[number[word]])).sum() / x.sum()) if x.sum() else 0.0
+            if score >= fit:
+                kept.append((form, word))
+        return pd.DataFrame(kept, columns=["form", "word"])
+
+    return linked.groupBy("part").cogroup(cells.groupBy("group")).applyInPandas(judge, "form string, word string")
+
+
 def learn(df: DataFrame, text: str = "text", fit: float = -3.0) -> Lexicon:
     """The lexicon of a corpus: frequent words and the misread forms whose contexts fit theirs.
 
@@ -438,43 +498,67 @@ def learn(df: DataFrame, text: str = "text", fit: float = -3.0) -> Lexicon:
     """
     df = distinct_texts(df, text)
     units = checkpointed(count_units(df, text))
-    words, found = links(units)
-    kept: dict[str, str] = {}
-    if found:
-        known = sorted({u for form, word, _, _ in found for u in (form, word)})
-        number = {u: i for i, u in enumerate(known)}
-        counts = contexts(df, known, text)
-        w, c = skip_gram(counts)
-        for form, word, _, _ in found:
-            own = counts[number[form]]
-            score = float((own * (c @ w[number[word]])).sum() / own.sum()) if own.sum() else 0.0
-            if score >= fit:
-                kept[form] = word
-    sound = {u: n for u, n in words.items() if u not in kept and u[0] not in "<>"}
-    return Lexicon(sound, kept, frozenset(u for u in words if u not in kept and u[0] in "<>"))
+    kept = checkpointed(fitting(df, checkpointed(links(units)), text, fit))
+    misread = {r["form"]: r["word"] for r in kept.toLocalIterator()}
+    frequent = units.where(F.col("n") >= LEAST).join(kept.select(F.col("form").alias("unit")), "unit", "left_anti")
+    centres = sorted({_centre(u) for u in misread if u[0] in "<>"})
+    pair = F.col("unit").rlike("^[<>]")
+    centre = F.when(F.col("unit").startswith("<"), F.substring("unit", 3, 1)).otherwise(F.substring("unit", 2, 1))
+    pairs = frozenset(r["unit"] for r in frequent.where(pair & centre.isin(centres)).select("unit").toLocalIterator())
+
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            signed = [any(c in _KATA_MIS for c in u) for u in b["unit"]]
+            own = np.array([word_hash(u) for u in b["unit"]], dtype="<u8")
+            yield pd.DataFrame({"signed": [False, True], "h": [own[~np.array(signed, dtype=bool)].tobytes(), own[np.array(signed, dtype=bool)].tobytes()]})
+
+    words: dict[bool, list[bytes]] = {False: [], True: []}
+    for r in frequent.where(~pair & ~F.col("unit").rlike("^[\\x00-\\x7f]")).select("unit").mapInPandas(hashes, "signed boolean, h binary").toLocalIterator():
+        words[r["signed"]].append(bytes(r["h"]))
+    plain, signed = (np.sort(np.frombuffer(b"".join(words[k]), dtype="<u8")) for k in (False, True))
+    return Lexicon(plain, signed, misread, pairs)
+
+
+def _centre(unit: str) -> str:
+    """The kanji of a pair, without its neighbour."""
+    return unit[2] if unit[0] == "<" else unit[1]
+
+
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(keys), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
 class Reader:
     """Finds and corrects misread words by a lexicon."""
 
     def __init__(self, lexicon: Lexicon):
-        self.words, self.misread, self.pairs = lexicon
+        self._sound, self._signed, self.misread, self.pairs = lexicon
         self.kanji = {u for u in self.misread if u[0] in "<>"}
-        chars = {u[2] if u[0] == "<" else u[1] for u in self.kanji}
+        chars = {_centre(u) for u in self.kanji}
+        forms = [len(u) for u in self.misread if u[0] >= "\x80"]
+        self._lengths = range(min(forms, default=1), max(forms, default=0) + 1)
         self.suspect = re.compile("[" + "".join(sorted(chars)) + "]") if chars else None
         self._kata = lru_cache(maxsize=100_000)(self._katakana)
         self._latin = np.array(sorted(word_hash(u) for u in self.misread if u[0] < "\x80"), dtype=np.uint64)
         self._pairs = np.array(sorted(pair_key(u) for u in self.kanji), dtype=np.int64)
         self._sides = np.array(sorted(pair_key(u) for u in self.pairs if len(u) == 3), dtype=np.int64)
-        self._sound = np.array(sorted(word_hash(u) for u in self.words if u[0] >= "\x80" and not any(c in _KATA_MIS for c in u)), dtype=np.uint64)
+
+    def _is_word(self, piece: str) -> bool:
+        known = self._signed if any(c in _KATA_MIS for c in piece) else self._sound
+        return bool(_among(np.array([word_hash(piece)], dtype=np.uint64), known)[0])
 
     def _katakana(self, run: str) -> str:
         """The run with its misread words put right; the run itself if it has none or can't be read as words."""
         if run in self.misread:
             return self.misread[run]
-        if run in self.words and not any(c in _KATA_MIS for c in run):
-            return run
         n = len(run)
+        if not any(run[s : s + k] in self.misread for k in self._lengths for s in range(n - k + 1)):
+            return run  # nothing to put right
+        if not any(c in _KATA_MIS for c in run) and self._is_word(run):
+            return run
         best: list[tuple[int, int, str] | None] = [(0, 0, "")] + [None] * n  # pieces, -corrected, text
         for e in range(1, n + 1):
             for s in range(max(0, e - 20), e - 1):
@@ -483,7 +567,7 @@ class Reader:
                     continue
                 piece = run[s:e]
                 right = self.misread.get(piece)
-                if right is None and piece not in self.words:
+                if right is None and not self._is_word(piece):
                     continue
                 option = (head[0] + 1, head[1] + (right is not None), head[2] + (right or piece))
                 if best[e] is None or option[0] < best[e][0]:
@@ -502,17 +586,11 @@ class Reader:
 
     def suspects(self, words: Batch) -> np.ndarray:
         """Texts of a batch that may hold a misread word: all that do, and few others."""
-
-        def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-            if not len(known):
-                return np.zeros(len(keys), dtype=bool)
-            return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
-
-        docs = [words.numbered, words.doc[words.latin & among(words.hash, self._latin)]]
-        left, right = among(words.left, self._pairs), among(words.right, self._pairs)
-        against = (left & among(words.right, self._sides)) | (right & among(words.left, self._sides))
+        docs = [words.numbered, words.doc[words.latin & _among(words.hash, self._latin)]]
+        left, right = _among(words.left, self._pairs), _among(words.right, self._pairs)
+        against = (left & _among(words.right, self._sides)) | (right & _among(words.left, self._sides))
         docs.append(words.at_doc[(left | right) & ~against])
-        odd = np.flatnonzero((words.run == 3) & (words.end - words.start >= 2) & ~among(words.hash, self._sound))
+        odd = np.flatnonzero((words.run == 3) & (words.end - words.start >= 2) & ~_among(words.hash, self._sound))
         if len(odd):
             key, first, back = np.unique(words.hash[odd], return_index=True, return_inverse=True)
             wrong = np.array([(lambda t: self._kata(t) != t)(words.text(int(odd[k]))) for k in first])
@@ -526,7 +604,7 @@ class Reader:
             t = m[0]
             if t[0] < "\x80":
                 w = t.lower()
-                if len(t) >= 3 and w not in self.words and w in self.misread and (m.start() == 0 or flow[m.start() - 1] not in "\\{}_^$&;#/"):
+                if len(t) >= 3 and w in self.misread and (m.start() == 0 or flow[m.start() - 1] not in "\\{}_^$&;#/"):
                     right = self.misread[w]
                     right = right.capitalize() if t[0].isupper() and not t.isupper() else right.upper() if t.isupper() else right
                     out.append((m.start(), m.end(), right))

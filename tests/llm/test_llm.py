@@ -295,6 +295,18 @@ def test_scan_copies_dont_make_a_form_sound(spark):
     assert [tuple(r) for r in fixed] == [("ロータの温度と熱流束を測定した。", 160)]
 
 
+def test_scan_words_of_any_corpus_size(spark, monkeypatch):
+    monkeypatch.setattr(scans, "MOST_WORDS", 5, raising=False)  # was a bound that a corpus of this size would reach
+    df, files = scan_frame(spark)
+    assert {r["id"] for r in scans.noise(df, files).where("noise = 'misread'").collect()} == {"n2", "n5"}
+    texts = scans.distinct_texts(df)
+    found = scans.links(scans.count_units(texts)).collect()
+    assert {(r["form"], r["word"]) for r in found} >= {("ロ一タ", "ロータ"), (">熟流", ">熱流")}
+    monkeypatch.setattr(scans, "TOGETHER", 1)  # links in several groups: none is lost
+    rows = spark.createDataFrame(found)
+    assert {tuple(r) for r in scans.fitting(texts, rows, fit=-1e9).collect()} == {(r["form"], r["word"]) for r in found}
+
+
 def test_page_lines():
     yes = ["12", "  12  ", "- 3 -", "— 14 —", "−5−", "・7・", "3/53", "P.3", "p. 7", "Page 595", "58ページ", "21 頁", "[28]", "〔300〕"]
     no = ["3.5", "12 mm", "第1章", "・3", "<!-- Page 3 -->", "2013年", "", "a1", "1,2,3"]
