@@ -193,30 +193,71 @@ def test_signature_guarantee():
 # --- 4 ---
 
 
-def test_broken_pairs():
-    rng = random.Random(6)
-    subjects = [f"{a}{b}" for a in ("高速", "小型", "密閉", "電動") for b in ("ポンプ", "軸受", "主軸", "送風機", "歯車")]
-    facts = ["{s}の温度は 45 °C まで上昇する。", "{s}を停止すると振動が減少する。", "{s}の寿命は荷重に大きく依存する。", "試験では{s}に異常は見られなかった。", "{s}の表面を青銅で被覆する。"]
-    sample = []
-    for _ in range(700):
+def sample_pairs(n=1600, seed=6):
+    """Pairs of a small made-up corpus, one in eight of them defective, as a table would hold them."""
+    rng = random.Random(seed)
+    subjects = [f"{a}{b}" for a in ("高速", "小型", "密閉", "電動", "空冷") for b in ("ポンプ", "軸受", "主軸", "送風機", "歯車", "センサ")]
+    facts = ["{s}の温度は {n} °C まで上昇する。", "{s}を停止すると振動が減少する。", "{s}の寿命は荷重に大きく依存する。", "試験では{s}に異常は見られなかった。", "{s}の表面を青銅で被覆する。", "{s}と{t}を直列に接続すると流量が {n} L/min だけ変わる。", "一概には言えませんが、{s}では {n} MPa 前後になります。", "{s}だけでは応力を直接測ることはできません。そこで{t}の温度から推定します。"]
+    out = []
+    for _ in range(n):
         s = rng.choice(subjects)
-        q = rng.choice([f"{s}の寿命に影響する要因は何ですか?", f"{s}が停止する理由を説明してください。", f"{s}の温度はいくらですか?"])
-        a = "".join(rng.choice(facts).format(s=rng.choice(subjects)) for _ in range(rng.randint(1, 3)))
-        sample.append((q, rng.choice([a, a, "45 °C", "約 12 mm です。", "はい。", "次のとおりである。\n・主軸の点検\n・軸受の交換"])))
-    model = pairs.train(sample)
+        q = rng.choice([f"{s}の寿命に影響する要因は何ですか?", f"{s}が停止する理由を説明してください。", f"{s}の温度はいくらですか?", f"{s}では逆流が生じますか?"])
+        a = "".join(rng.choice(facts).format(s=rng.choice(subjects), t=rng.choice(subjects), n=rng.randint(2, 900)) for _ in range(rng.randint(1, 3)))
+        a = rng.choice([a, a, a, f"{rng.randint(1, 900)} °C", f"約 {rng.randint(1, 90)} mm です。", "はい。", "生じない。", "次のとおりである。\n・主軸の点検\n・軸受の交換"])
+        if rng.random() < 0.12:
+            a = rng.choice([q, "N/A", "", "申し訳ありませんが、お答えできません。", f"{s}については、当社の方針で公表を控えております。", a[: len(a) // 2] + "の", "The bearing was replaced after ten hours of use."])
+        out.append((q, a))
+    return out
+
+
+@pytest.fixture(scope="module")
+def pair_model():
+    return pairs.train(sample_pairs())
+
+
+def test_broken_pairs(pair_model):
     q = "密閉軸受の寿命に影響する要因は何ですか?"
     cases = [
         (q, None, "empty"), (q, " ", "empty"), (q, "N/A", "empty"), (q, "未回答", "empty"), (q, '{"answer": ""}', "empty"),
         (q, "申し訳ありませんが、お答えできません。", "refusal"), (q, "I'm sorry, but I can't help with that.", "refusal"),
         (q, q, "copy"), (q, f"質問: {q}", "copy"), (q, "密閉軸受の寿命に影響する要因は何でしょうか", "copy"),
-        (q, "The bearing was replaced after ten hours of use and no damage was found.", "language"), (q, "轴承的寿命主要取决于载荷。", "language"),
+        (q, "The bearing was replaced after ten hours of use and no damage was found.", "language"), (q, "轴承的寿命主要取决于载荷和润滑条件。", "language"),
         (q, "密閉軸受の寿命は荷重に大きく依存する。高速ポンプの温度は", "truncated"),
         (q, "密閉軸受の寿命は荷重に大きく依存する。", None), (q, "45 °C", None), ("英語で説明してください: 軸受の寿命", "The life of the bearing depends on the load.", None), (q, "次のとおりである。\n・主軸の点検\n・軸受の交換", None), (None, "高速ポンプの温度は 45 °C まで上昇する。", None),
     ]
-    got = pairs.classify(model, [(a, b) for a, b, _ in cases])
+    got = pairs.classify(pair_model, [(a, b) for a, b, _ in cases])
     assert sum(g == w for g, (_, _, w) in zip(got, cases, strict=True)) >= len(cases) - 1, list(zip(got, cases))
 
 
+#: Wordings that stand neither in the parts the operator learns from nor in the sample.
+HELD_OUT = {
+    "refusal": ["No comment.", "教えることは控えたいと思います。", "機密事項のため非公開です。", "当社の規則で公表が禁じられています。", "あいにく手元に資料が無く、申し上げることができません。", "そのご要望には添いかねます。", "その手の質問には応じない方針です。", "申し上げる立場にありません。", "I have no information about that.", "That's not something I am able to share.", "Sorry, but that is restricted information.", "We are unable to respond at this time.", "我没有相关资料,难以回答。", "죄송하지만 말씀드리기 어렵습니다.", "Désolé, je n'ai pas cette information.", "情報不足のため、お答えは致しかねます。", "残念ですが、この点についての説明はご容赦願います。", "この資料だけでは何とも申し上げられません。", "ご質問の件は、弊社の都合によりお伝えすることができません。"],
+    "empty": ["記載なし", "N.A.", "準備中", "pending", "<p></p>", "該当なし。", "(未記入)", "--", "後日回答予定", "未確定", "(no answer provided)", "None", "答えなし", "暂缺", "*", "<br/>", "　\n", "回答:（空白）"],
+    "copy": ["密閉軸受の寿命に影響する要因は何でしょうか。", "密閉軸受の寿命に影響する要因についてのご質問ですね。", "密閉軸受の寿命に影響する要因を教えてほしいということですね。", "ご質問: 密閉軸受の寿命に影響する要因は何ですか?", "お尋ねの件:「密閉軸受の寿命に影響する要因は何ですか?」", "あなたの質問は「密閉軸受の寿命に影響する要因は何ですか」です。"],
+    "language": ["Smar na łożysku zmniejsza tarcie i zwiększa trwałość.", "Tuổi thọ của ổ trục phụ thuộc vào tải trọng.", "อายุการใช้งานของตลับลูกปืนขึ้นอยู่กับภาระ", "חיי המסב תלויים בעומס ובשימון.", "बेयरिंग का जीवन भार पर निर्भर करता है।", "La durata del cuscinetto dipende dal carico e dalla lubrificazione.", "Срок службы подшипника зависит от нагрузки.", "يعتمد عمر المحمل على الحمل.", "Η διάρκεια ζωής του ρουλεμάν εξαρτάται από το φορτίο."],
+    "truncated": ["主な要因は三つある。第一に荷重、第二に", "・荷重の大きさ\n・潤滑の状態\n・温度が", "密閉軸受の寿命は潤滑油の種類によって変わり、粘度が低いほ", "密閉軸受の寿命は荷重に大きく依存し、特に"],
+    None: ["密閉軸受の寿命は荷重に大きく依存する。", "荷重です。", "荷重と温度", "はい。", "45 °C", "変化なし", "次のとおりである。\n・主軸の点検\n・軸受の交換", "分解せずに寿命を知ることはできません。そのため温度から推定します。", "不具合は見られません。", "荷重が大きいほど寿命は短くなる。"],
+}
+
+
+def test_broken_pairs_in_other_words(pair_model):
+    q = "密閉軸受の寿命に影響する要因は何ですか?"
+    for want, answers in HELD_OUT.items():
+        got = pairs.classify(pair_model, [(q, a) for a in answers])
+        assert sum(g == want for g in got) >= 0.75 * len(answers), [(g, a) for g, a in zip(got, answers, strict=True) if g != want]
+
+
+def test_pair_features_one_by_one():
+    """A batch gives each pair the features it has alone."""
+    some = sample_pairs(60, 2) + [(None, None), ("", ""), ("何?", "\0a\0"), ("x" * 500, "y " * 3000)]
+    model = pairs.Model({(n, k): np.random.default_rng(1).normal(size=pairs.SIZES[k]).astype(np.float32) for n, (ks, _) in pairs.READS.items() for k in ks}, np.ones((len(pairs.DENSE), len(pairs.DEFECTS))), pairs.familiar_grams([a for _, a in some if a]), np.ones(5), np.zeros(5))
+    whole = pairs.features(some, model.familiar)
+    together = pairs.scores(model.grams, model.dense, whole)
+    for i, p in enumerate(some):
+        one = pairs.features([p], model.familiar)
+        assert np.allclose(one.dense[0], whole.dense[i]) and np.allclose(pairs.scores(model.grams, model.dense, one)[0], together[i], atol=1e-4), p
+
+
 def test_pair_frames(spark):
     df = spark.createDataFrame([(1, "これは何ですか?", "装置の温度を測定した。", "a"), (2, None, None, "b"), (3, "", "", None)], "pair_id long, question string, answer string, defect string")
     got = {r["pair_id"]: r["defect"] for r in pairs.defects(df).collect()}
