@@ -25,7 +25,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -172,17 +171,9 @@ class Batch:
         ends = np.flatnonzero(codes == 10)
         if not len(ends):
             return keep
-        left, right = ends - 1, ends + 1
-        for _ in range(24):  # blanks at the line's end and indentation
-            step = t.blank[codes[left]]
-            if not step.any():
-                break
-            left = left - step
-        for _ in range(24):
-            step = t.blank[codes[right]]
-            if not step.any():
-                break
-            right = right + step
+        solid, at = ~t.blank[codes], np.arange(len(codes))
+        left = np.maximum.accumulate(np.where(solid, at, 0))[ends - 1]  # over blanks at the line's end and indentation
+        right = np.minimum.accumulate(np.where(solid, at, len(codes) - 1)[::-1])[::-1][ends + 1]
         a, b = t.kind[codes[left]], t.kind[codes[right]]
         comma, stop = codes == 0x3001, codes == 0x3002
         japanese = ((a >= 3) | comma[left]) & ((b >= 3) | comma[right] | stop[right])
@@ -301,7 +292,7 @@ def count_units(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def edits(unit: str, most: int = 3) -> set[str]:
-    """Words that ``unit`` may have been before up to ``most`` plausible misreadings of its glyphs."""
+    """Pairs of kanji, or Latin words, that ``unit`` may have been before up to ``most`` plausible misreadings of its glyphs."""
     if unit[0] in "<>":
         at = 2 if unit[0] == "<" else 1
         right = KANJI.get(unit[at]) if len(unit) > at else None
@@ -311,19 +302,23 @@ def edits(unit: str, most: int = 3) -> set[str]:
         for _ in range(most):
             edge = {w[:i] + right + w[i + len(mis) :] for w in edge for mis, right in LATIN for i in range(len(w)) if w.startswith(mis, i)} - found - {unit}
             found |= edge
-            if len(found) > 2000:
-                break
         return found
-    fixed = [KATAKANA[c] if c in _KATA_MIS else c for c in unit]  # a kanji in a katakana word is surely misread
-    open_ = [i for i, c in enumerate(fixed) if c in "ソツ" or (c in "ンシ" and unit[i] == c)]
-    found = set()
-    for chosen in product((False, True), repeat=min(len(open_), 4)):
-        w = fixed[:]
-        for i, change in zip(open_, chosen, strict=False):
-            if change:
-                w[i] = KATAKANA[w[i]]
-        found.add("".join(w))
-    return found - {unit}
+    return set()  # katakana words meet by their folded form
+
+
+_ALIKE = str.maketrans({k: KATAKANA[k] for k in KATAKANA if k not in "ンシ"})
+
+
+def keys(unit: str) -> set[str]:
+    """What a unit meets frequent words by: a katakana word by its form with all that looks alike made one, others by the words they may have been."""
+    if unit[0] in "<>" or unit[0] < "\x80":
+        return edits(unit)
+    return {"=" + unit.translate(_ALIKE)}
+
+
+def known_by(word: str) -> str:
+    """What a frequent word is met by."""
+    return word if word[0] in "<>" or word[0] < "\x80" else "=" + word.translate(_ALIKE)
 
 
 class Lexicon(NamedTuple):
@@ -341,8 +336,8 @@ class Lexicon(NamedTuple):
 
 
 def _filter(words: DataFrame) -> bytes:
-    """A bit for the checksum of each ``unit``; up to ``FILTER`` bits, whatever the number of words."""
-    bit = F.crc32("unit") % FILTER
+    """A bit for the checksum of each ``key``; up to ``FILTER`` bits, whatever the number of words."""
+    bit = F.crc32("key") % FILTER
     slots = words.select(F.floor(bit / 64).cast("int").alias("slot"), (bit % 64).cast("int").alias("b"))
     bits = np.zeros(FILTER // 64, dtype="<i8")
     for r in slots.groupBy("slot").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("w")).toLocalIterator():
@@ -356,24 +351,25 @@ def links(units: DataFrame) -> DataFrame:
     Edits meet the words in a join. A filter of fixed size leaves out most of
     those that are no words before; what it lets through in vain costs a row.
     """
-    words = units.where(F.col("n") >= max(LEAST, RATIO))  # a form occurs once at least
+    by = F.pandas_udf(lambda s: s.map(known_by), "string")
+    words = checkpointed(units.where(F.col("n") >= max(LEAST, RATIO)).select(F.col("unit").alias("word"), F.col("n").alias("of"), by("unit").alias("key")))  # a form occurs once at least
     known = _filter(words)
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for b in batches:
             for unit, n in zip(b["unit"], b["n"], strict=True):
-                for w in edits(unit):
+                for w in keys(unit):
                     h = zlib.crc32(w.encode()) % FILTER
                     if known[h >> 3] >> (h & 7) & 1:
                         out.append((unit, w, n))
                 if len(out) > 100_000:
-                    yield pd.DataFrame(out, columns=["form", "word", "n"])
+                    yield pd.DataFrame(out, columns=["form", "key", "n"])
                     out = []
-        yield pd.DataFrame(out, columns=["form", "word", "n"])
+        yield pd.DataFrame(out, columns=["form", "key", "n"])
 
-    proposed = units.mapInPandas(propose, "form string, word string, n long")
-    met = proposed.join(words.select(F.col("unit").alias("word"), F.col("n").alias("of")), "word").where(F.col("of") >= RATIO * F.col("n"))
+    proposed = units.mapInPandas(propose, "form string, key string, n long")
+    met = proposed.join(words, "key").where((F.col("form") != F.col("word")) & (F.col("of") >= RATIO * F.col("n")))
     return met.groupBy("form", "n").agg(F.max(F.struct("of", "word")).alias("best")).select("form", "best.word", "n", "best.of")
 
 
@@ -561,7 +557,7 @@ class Reader:
             return run
         best: list[tuple[int, int, str] | None] = [(0, 0, "")] + [None] * n  # pieces, -corrected, text
         for e in range(1, n + 1):
-            for s in range(max(0, e - 20), e - 1):
+            for s in range(max(0, e - LONGEST), e - 1):
                 head = best[s]
                 if head is None:
                     continue
@@ -641,12 +637,14 @@ def fold_title(line: str) -> str:
 _FOLD = {k: v for k, v in KATAKANA.items() if k not in "ンシ"} | {k: v for k, v in KANJI.items() if v not in KANJI or KANJI[v] != k} | {"l": "1", "I": "1", "O": "0", "S": "5"}
 _FOLDED = str.maketrans(_FOLD)
 #: The same for a whole text: white space but line ends removed too.
-_FOLDED_TEXT = str.maketrans(_FOLD | {c: "" for c in " \t\r　\u00a0"})
+_FOLDED_TEXT = str.maketrans(_FOLD | {c: "" for c in map(chr, range(0x3001)) if c.isspace() and c != "\n"})
 _HYPHEN_END = re.compile(rf"[{HYPHENS}][ 　\t]*\r?\n")
 
 
 #: Titles that go to the workers; more meet the lines in a join.
 MOST_TITLES = 200_000
+#: Places a file's titles stand in when texts meet them in a join.
+SALTS = 64
 
 
 def titles(files: DataFrame) -> DataFrame:
@@ -667,14 +665,16 @@ def _known_titles(heads: DataFrame) -> dict[str, list[str]] | None:
     return out
 
 
-def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, list[str]] | None, key: str = "id", text: str = "text", file: str = "source_file") -> DataFrame:
+def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, list[str]] | None, sizes: tuple[int, int] = (4, 0), key: str = "id", text: str = "text", file: str = "source_file") -> DataFrame:
     """``(key, noise, file, head)``: the kinds of noise of each text.
 
-    With ``known`` titles a running head is found here, if the file's folded
-    title occurs in the folded text and then makes up a line. Without them
-    every short line comes out as a possible head, with its folded form.
+    A running head is a line whose folded form is a folded title of the file.
+    With ``known`` titles it is found here, in texts in whose folded form a
+    title occurs. Without them every line that folds to a length some title
+    has (``sizes``) comes out as a possible head, with its folded form.
     """
     kind = dict(df.dtypes)[key]
+    least, most = sizes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(lexicon)
@@ -698,11 +698,11 @@ def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, list[str]] | None, ke
                 else:
                     lines = [x]
                 if known is None:
-                    heads = {fold_title(line) for line in lines if 4 <= len(line.strip()) <= 80 and "。" not in line}
-                    out.extend((keys[i], "header", files[i], h) for h in heads if len(h) >= 4)
+                    heads = {fold_title(line) for line in lines}
+                    out.extend((keys[i], "header", files[i], h) for h in heads if least <= len(h) <= most)
                 elif own := known.get(files[i]):
                     folded = x.translate(_FOLDED_TEXT)
-                    if any(t in folded for t in own) and any(len(line) <= 120 and fold_title(line) in own for line in lines):
+                    if any(t in folded for t in own) and any(fold_title(line) in own for line in lines):
                         out.append((keys[i], "header", files[i], None))
             for rows, words in batches_of(flows):
                 for d in reader.suspects(words).tolist():
@@ -720,13 +720,14 @@ def noise(df: DataFrame, files: DataFrame, lexicon: Lexicon | None = None, key:
 
     Null and blank texts have none. Without a lexicon it is learned from
     ``df``. Titles go to the workers if there are at most ``MOST_TITLES`` of
-    them; beyond that the short lines meet them by file and folded form, in
-    rows of a few dozen bytes spread by both.
+    them; beyond that the lines of a title's length meet them by file and
+    folded form, in rows of a few dozen bytes spread by both.
     """
     lexicon = lexicon or learn(df, text)
     heads = titles(files)
     known = _known_titles(heads)
-    found = scan(df, lexicon, known, key, text, file)
+    size = heads.agg(F.min(F.length("head")).alias("least"), F.max(F.length("head")).alias("most")).first() if known is None else None
+    found = scan(df, lexicon, known, (size["least"], size["most"]) if size and size["most"] else (4, 0), key, text, file)
     if known is not None:
         return found.select(key, "noise").distinct()
     found = checkpointed(found)
@@ -742,7 +743,7 @@ def tidy(text: str, heads: set[str]) -> str:
     pages = page_lines(lines)
     headed = bool(heads) and (lambda folded: any(h in folded for h in heads))(text.translate(_FOLDED_TEXT))
     if headed or any(pages):
-        text = "\n".join(x for x, p in zip(lines, pages, strict=True) if not p and not (headed and len(x) <= 120 and fold_title(x) in heads))
+        text = "\n".join(x for x, p in zip(lines, pages, strict=True) if not p and not (headed and fold_title(x) in heads))
     if _HYPHEN_END.search(text):
         text = _SPLIT_WORD.sub(r"\1\2 ", text)
     return _JP_BREAK.sub("", text)
@@ -773,8 +774,13 @@ def repaired(df: DataFrame, files: DataFrame, lexicon: Lexicon | None = None, ke
     """``(key, file, text, repaired)`` of every row: ``repaired`` has no scanning noise; null text stays null."""
     lexicon = lexicon or learn(df, text)
     kind = dict(df.dtypes)[key]
-    wanted = titles(files).groupBy("file").agg(F.collect_set("head").alias("heads"))  # two per file at most
-    rows = df.select(F.col(key).alias("k"), F.col(file).alias("f"), F.col(text).alias("x")).join(wanted.withColumnRenamed("file", "f"), "f", "left")
+    heads = titles(files)
+    wanted = heads.groupBy(F.col("file").alias("f")).agg(F.collect_set("head").alias("heads"))  # two per file at most
+    rows = df.select(F.col(key).alias("k"), F.col(file).alias("f"), F.col(text).alias("x"))
+    if heads.limit(MOST_TITLES + 1).count() <= MOST_TITLES:
+        rows = rows.join(F.broadcast(wanted), "f", "left")
+    else:  # a file may hold a third of the texts: each of its titles stands in SALTS places
+        rows = rows.withColumn("s", F.pmod(F.xxhash64("k"), F.lit(SALTS))).join(wanted.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["f", "s"], "left").drop("s")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(lexicon)

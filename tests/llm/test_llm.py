@@ -348,6 +348,34 @@ def test_scan_words_of_any_corpus_size(spark, monkeypatch):
     assert {tuple(r) for r in scans.fitting(texts, rows, fit=-1e9).collect()} == {(r["form"], r["word"]) for r in found}
 
 
+def test_scan_links_dont_depend_on_the_size(spark):
+    """A corpus of a thousand times as many texts has the same links; a katakana word may have any number of doubtful letters."""
+    rows = [("コンピュータシミュレーション", 900), ("コソピュータツミュレーツョソ", 3), ("ポンプ", 400), ("ポソプ", 2), ("ダクト", 40), ("compressor", 300), ("cornpressor", 4), ("<の熱", 90), ("<の熟", 1), ("ツール", 50), ("シール", 60)]
+    want = {("コソピュータツミュレーツョソ", "コンピュータシミュレーション"), ("ポソプ", "ポンプ"), ("cornpressor", "compressor"), ("<の熟", "<の熱")}
+    for times in (1, 1000):
+        units = spark.createDataFrame([(u, n * times) for u, n in rows], "unit string, n long")
+        assert {(r["form"], r["word"]) for r in scans.links(units).collect()} == want
+
+
+def test_scan_heads_of_any_form(spark, monkeypatch):
+    """Long titles, titles with a full stop and lines with any kind of blanks, whether titles are sent or joined."""
+    long = "回転機械の振動と騒音に関する調査報告書。" * 7
+    files = spark.createDataFrame([("f.pdf", long, "振動 技報"), (None, "x", "y"), ("g.pdf", None, "別の表題")], "source_file string, title string, short_title string")
+    rows = [("a", f"{long}\n本文。", "f.pdf"), ("b", f"本文\n振動\u2003技\u00a0報 {' ' * 200} 12", "f.pdf"), ("c", f"本文中の{long}である", "f.pdf"), ("d", "振動技報", "g.pdf"), ("e", "", "f.pdf"), ("f", "別の表題\n文", "g.pdf")]
+    df = spark.createDataFrame(rows, "id string, text string, source_file string")
+    lexicon = scans.learn(df)
+    for most in (200_000, 0):
+        monkeypatch.setattr(scans, "MOST_TITLES", most)
+        assert {r["id"] for r in scans.noise(df, files, lexicon).where("noise = 'header'").collect()} == {"a", "b", "f"}
+        fixed = {r["id"]: r["repaired"] for r in scans.repaired(df, files, lexicon).collect()}
+        assert fixed["a"] == "本文。" and fixed["b"] == "本文" and fixed["d"] == "振動技報" and fixed["e"] == ""
+
+
+def test_scan_lines_with_many_blanks():
+    words = scans.Batch(["熱交換" + " " * 5000 + "\n" + "　" * 3000 + "器 tempera-" + " " * 99 + "\n" + " " * 99 + "ture"])
+    assert [words.text(k) for k in range(len(words.start))] == ["熱交換器", "temperature"]
+
+
 def test_page_lines():
     yes = ["12", "  12  ", "- 3 -", "— 14 —", "−5−", "・7・", "3/53", "P.3", "p. 7", "Page 595", "58ページ", "21 頁", "[28]", "〔300〕"]
     no = ["3.5", "12 mm", "第1章", "・3", "<!-- Page 3 -->", "2013年", "", "a1", "1,2,3"]
