@@ -50,14 +50,14 @@ _FORMS: dict[str, list[tuple[str, re.Pattern]]] = {
         ("file_link", re.compile(r"\[\[(?:ファイル|File|Image|画像|Category|カテゴリ):[^\[\]\n]+\]\]", re.I)), ("wiki_link", re.compile(r"\[\[[^\[\]\n]+\]\]")), ("wiki_url", re.compile(r"\[(?:https?|ftp)://[^\s\]]+ [^\]\n]+\]")),
         ("footnote", re.compile(r"\[\^[^\]\s]+\]:?")), ("link", re.compile(r"\[[^\[\]\n]+\]\((?:https?://|#|/|\.|mailto:|[\w-]+[./])[^)\s]*(?:\s\"[^\"\n]*\")?\)")), ("ref_link", re.compile(r"\[[^\[\]\n]+\]\[[^\[\]\n]*\]")), ("number", re.compile(r"\[\d{1,4}\]")), ("bracket", re.compile(r"\[")),
     ],
-    "{": [("table_open", re.compile(r"\{\|")), ("template", re.compile(r"\{\{[^{}\n]{1,200}\}\}")), ("template_open", re.compile(r"\{\{[^{}\n|]{1,60}$", re.M)), ("brace", re.compile(r"\{+"))],
+    "{": [("table_open", re.compile(r"\{\|")), ("template", re.compile(r"\{\{[^{}\n]+\}\}")), ("template_open", re.compile(r"\{\{[^{}\n|]+$", re.M)), ("brace", re.compile(r"\{+"))],
     "}": [("template_close", re.compile(r"\}\}")), ("brace_close", re.compile(r"\}+"))],
     "'": [("quote_strong", re.compile(r"'{3,5}[^'\n]+'{3,5}")), ("quote_em", re.compile(r"''[^'\n]+''")), ("quote", re.compile(r"'+"))],
     "\\": [
         ("environment", re.compile(r"\\(?:begin|end)\{[A-Za-z]+\*?\}")), ("command", re.compile(r"(?<![A-Za-z0-9:])\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{")), ("display", re.compile(r"\\[\[\]()]")), ("row_break", re.compile(r"\\\\(?=\s|$)", re.M)),
         ("word", re.compile(r"(?<![A-Za-z0-9:\\])\\[A-Za-z]+(?![A-Za-z\\])")), ("path", re.compile(r"\\[A-Za-z0-9]*")),
     ],
-    "$": [("dollars", re.compile(r"\$\$")), ("math", re.compile(r"\$(?=[^\s$])[^$\n]{0,200}[\\^_{}=][^$\n]{0,200}(?<=\S)\$")), ("math_name", re.compile(r"\$[A-Za-z](?:['′]|_[A-Za-z0-9])?\$")), ("price", re.compile(r"\$\s?\d")), ("dollar", re.compile(r"\$"))],
+    "$": [("dollars", re.compile(r"\$\$")), ("math", re.compile(r"\$(?=[^\s$])[^$\n\\^_{}=]*[\\^_{}=][^$\n]*(?<=\S)\$")), ("math_name", re.compile(r"\$[A-Za-z](?:['′]|_[A-Za-z0-9])?\$")), ("price", re.compile(r"\$\s?\d")), ("dollar", re.compile(r"\$"))],
     "^": [("caret", re.compile(r"\^"))],
     "|": [("bars", re.compile(r"\|\|")), ("bar", re.compile(r"\|"))],
 }
@@ -65,7 +65,7 @@ _FORMS: dict[str, list[tuple[str, re.Pattern]]] = {
 _LINES = [
     ("redirect", re.compile(r"#(?:転送|REDIRECT)\b.*", re.I)), ("hash_link", re.compile(r"#{1,4}[ \t]*\[\[.*")), ("heading", re.compile(r"#{1,6}[ \t]+\S.*")), ("hash_number", re.compile(r"#\d.*")), ("fence", re.compile(r"(?:`{3,}|~{3,})[\w+-]*\s*$")),
     ("equals_heading", re.compile(r"(={2,6})[^=\n].*?\1\s*$")), ("underline", re.compile(r"(?:={3,}|-{3,})\s*$")), ("rule_row", re.compile(r"\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)+\|?\s*$")), ("table_row", re.compile(r"\|[^|\n-].*\|.*\|\s*$")),
-    ("row_mark", re.compile(r"\|-+\s*$")), ("table_close", re.compile(r"\|\}\s*$")), ("cells", re.compile(r"[|!][^|\n]*(?:\|\||!!).*")), ("parameter", re.compile(r"\|\s*[^|=\n]{1,40}=.*")), ("quote_line", re.compile(r">+[ \t]\S.*")), ("stars", re.compile(r"\*{1,4}[ \t]*[^*\s].*")),
+    ("row_mark", re.compile(r"\|-+\s*$")), ("table_close", re.compile(r"\|\}\s*$")), ("cells", re.compile(r"[|!][^|\n]*(?:\|\||!!).*")), ("parameter", re.compile(r"\|\s*[^|=\n]+=.*")), ("quote_line", re.compile(r">+[ \t]\S.*")), ("stars", re.compile(r"\*{1,4}[ \t]*[^*\s].*")),
     ("dash", re.compile(r"[ \t]*[-+][ \t]+\S.*")), ("semicolon", re.compile(r"[;:]+[ \t]*\S.*")), ("percent", re.compile(r"%[ \t]*\S.*")),
 ]
 _SPECIAL = re.compile(r"[<&*_~`!\[{}'\\$^|]")
@@ -356,18 +356,70 @@ def _indent(x: str) -> str:
     return "\n".join("    " + line if line.strip() else line for line in x.strip("\n").split("\n"))
 
 
-def _from_html(x: str) -> str:
-    i = re.I | re.S
-    marks: list[str] = []
+def _block(x: str) -> str:
+    return "\n\n" + x.strip() + "\n\n"
+
+
+#: Nodes whose inside is no markup of the text's: code and formulas, by the languages that write them so.
+_LEAVES = {
+    "markdown": [r"^[ \t]*(?P<fence>`{3,}|~{3,})[^\n`]*\n(?P<fenced>(?:.*\n)*?)(?:[ \t]*(?P=fence)[`~]*[ \t]*$|\Z)", r"(?P<tick>`+)(?P<ticked>[^`\n]+)(?P=tick)(?!`)"],
+    "latex": [
+        r"\\begin\{(?P<verb>[Vv]erbatim|lstlisting|minted|alltt)\*?\}(?:\[[^\]\n]*\])?(?:\{[^}\n]*\})?\n?(?P<verbatim>(?s:.*?))\\end\{(?P=verb)\*?\}", r"\\verb\*?(?P<bar>[^\sA-Za-z*])(?P<barred>[^\n]*?)(?P=bar)",
+        r"\\begin\{(?P<env>equation|align|gather|multline|eqnarray|displaymath|flalign|alignat)(?P<star>\*?)\}(?P<shown>(?s:.*?))\\end\{(?P=env)(?P=star)\}", r"\$\$(?P<dollars>(?s:.*?))\$\$", r"\\\[(?P<display>(?s:.*?))\\\]", r"\\\((?P<inline>[^\n]*?)\\\)",
+        r"\$(?=[^\s$])(?P<math>[A-Za-z][^$\n]*|[^$\n\\^_{}=]*[\\^_{}=][^$\n]*)(?<=\S)\$",
+    ],
+    "html": [r"<(?i:pre)\b[^>]*>(?P<pre>(?s:.*?))</(?i:pre)\s*>", r"<(?i:code|kbd|samp|tt)\b[^>]*>(?P<code>(?s:.*?))</(?i:code|kbd|samp|tt)\s*>"],
+    "wiki": [r"<(?i:nowiki)>(?P<nowiki>(?s:.*?))</(?i:nowiki)\s*>", r"<(?i:syntaxhighlight|source|pre)\b[^>]*>(?P<highlight>(?s:.*?))</(?i:syntaxhighlight|source|pre)\s*>", r"<(?i:math)\b[^>]*>(?P<formula>(?s:.*?))</(?i:math)\s*>"],
+}
+
+
+@lru_cache(maxsize=32)
+def _leaves(found: tuple[str, ...]) -> re.Pattern:
+    return re.compile("|".join([PAGE_MARK.pattern, "(?P<private>[\ue010\ue011])", *(p for name in found for p in _LEAVES[name])]), re.M)
+
+
+def _untagged(x: str) -> str:
+    return html.unescape(re.sub(r"</?(?:" + "|".join(_HTML) + r")\b[^<>]*>", "", x, flags=re.I))
+
+
+def _leaf(m: re.Match) -> str:
+    """What a code or formula node comes out as: its inside, untouched, code of several lines indented."""
+    g = {k: v for k, v in m.groupdict().items() if v is not None}
+    for name in ("fenced", "verbatim", "highlight", "pre"):
+        if name in g:
+            return "\n\n" + _indent(_untagged(g[name]) if name == "pre" else g[name]) + "\n\n"
+    for name in ("shown", "dollars", "display"):
+        if name in g:
+            return _block(re.sub(r"\\label\{[^{}]*\}", "", g[name]))
+    if "code" in g:
+        return _untagged(g["code"])
+    return next((g[name] for name in ("ticked", "barred", "inline", "math", "nowiki", "formula") if name in g), m[0])
 
-    def hold(m: re.Match) -> str:
-        marks.append(m[0])
-        return f"\ue010{len(marks) - 1}\ue011"
 
-    x = PAGE_MARK.sub(hold, x)
+#: Inline forms that stay as they are where the page's tree says that they are content.
+_CONTENT = {"star_em", "star_strong", "star", "low_strong", "magic", "low", "strike", "tie", "tilde", "code", "tick", "math", "math_name", "price", "dollar", "dollars", "quote_em", "quote_strong", "quote", "word", "path", "percent", "template", "number", "entity", "amp", "angle", "caret", "display", "command", "wiki_link", "link", "ref_link", "footnote"}
+
+
+def _held(text: str, found: list[str], content: list[tuple[int, int]]) -> tuple[str, list[str]]:
+    """The text with code, formulas, page marks and stretches of content taken out, and what to put back for each."""
+    kept: list[str] = []
+    out: list[str] = []
+    at = 0
+    spans = [(m.start(), m.end(), _leaf(m)) for m in _leaves(tuple(found)).finditer(text)]
+    spans += [(s, e, text[s:e]) for s, e in content]
+    for s, e, put in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if s < at or s == e:
+            continue
+        out += [text[at:s], f"\ue010{len(kept)}\ue011"]
+        kept.append(put)
+        at = e
+    return "".join([*out, text[at:]]), kept
+
+
+def _from_html(x: str) -> str:
+    i = re.I | re.S
     x = re.sub(r"<(style|script|noscript)\b[^>]*>.*?</\1\s*>", "", x, flags=i)
     x = re.sub(r"<!--.*?-->|<!DOCTYPE[^>]*>", "", x, flags=i)
-    x = re.sub(r"<pre\b[^>]*>(?:\s*<code\b[^>]*>)?(.*?)(?:</code\s*>\s*)?</pre\s*>", lambda m: "\n\n" + _indent(re.sub(r"<[^>]+>", "", m[1])) + "\n\n", x, flags=i)
     x = re.sub(r"<h([1-6])\b[^>]*>(.*?)</h\1\s*>", lambda m: _heading(m[2]), x, flags=i)
     x = re.sub(r"\s*</t[dh]\s*>\s*<t[dh]\b[^>]*>\s*", "\t", x, flags=i)
     x = re.sub(r"</tr\s*>\s*<tr\b[^>]*>\s*(?:<t[dh]\b[^>]*>)?", "\n", x, flags=i)
@@ -377,13 +429,11 @@ def _from_html(x: str) -> str:
     x = re.sub(r"<(?:br|hr)\b[^>]*>", "\n", x, flags=i)
     x = re.sub(r"</?(?:p|div|table|ul|ol|dl|dt|dd|figure|figcaption|section|article|blockquote|tbody|thead|header|footer|nav|form|center)\b[^>]*>", "\n\n", x, flags=i)
     x = re.sub(r"</?(?:" + "|".join(_HTML) + r")\b[^<>]*>", "", x, flags=i)
-    x = html.unescape(x)
-    return re.sub(r"\ue010(\d+)\ue011", lambda m: marks[int(m[1])], x)
+    return html.unescape(x)
 
 
 def _from_markdown(x: str) -> str:
     m = re.M
-    x = re.sub(r"^[ \t]*(`{3,}|~{3,})[\w+-]*[ \t]*\n(.*?)^[ \t]*\1[ \t]*$", lambda k: "\n" + _indent(k[2]) + "\n", x, flags=m | re.S)
     x = re.sub(r"^#{1,6}[ \t]+(.+?)[ \t]*#*[ \t]*$", lambda k: _heading(k[1]), x, flags=m)
     x = re.sub(r"^(?=\S)(.+)\n(?:={3,}|-{3,})[ \t]*$", lambda k: _heading(k[1]), x, flags=m)
     x = re.sub(r"!\[([^\]\n]*)\]\([^)\n]*\)", r"\1", x)
@@ -394,7 +444,6 @@ def _from_markdown(x: str) -> str:
     x = re.sub(r"^\|[ \t]*(.+?)[ \t]*\|[ \t]*$", lambda k: re.sub(r"[ \t]*\|[ \t]*", "\t", k[1]), x, flags=m)
     x = re.sub(r"^[ \t]*>+[ \t]?", "", x, flags=m)
     x = re.sub(r"^([ \t]*)[-*+][ \t]+", r"\1・", x, flags=m)
-    x = re.sub(r"(`+)([^`\n]+)\1", r"\2", x)
     x = re.sub(r"~~(?=\S)([^~\n]+?)(?<=\S)~~", r"\1", x)
     x = re.sub(r"\*{2,3}(?=\S)([^*\n]+?)(?<=\S)\*{2,3}", r"\1", x)
     x = re.sub(r"(?<![A-Za-z0-9_])__(?=\S)([^_\n]+?)(?<=\S)__", r"\1", x)
@@ -405,9 +454,12 @@ def _from_wiki(x: str) -> str:
     m = re.M
     x = re.sub(r"<ref\b[^>]*>(.*?)</ref\s*>", r"（\1）", x, flags=re.I | re.S)
     x = re.sub(r"</?(?:" + "|".join(_WIKI) + r")\b[^<>]*>", "", x, flags=re.I)
-    x = re.sub(r"\{\{(?:要出典|Citation needed|出典の明記)[^{}]*\}\}", "", x, flags=re.I)
-    x = re.sub(r"^\{\{([^{}|\n]+)\n((?:\|[^\n]*\n)+)\}\}", lambda k: k[1] + "\n" + re.sub(r"^\|[ \t]*([^=\n]+?)[ \t]*=[ \t]*", r"\1: ", k[2], flags=m), x, flags=m)
-    x = re.sub(r"\{\{([^{}\n]*)\}\}", lambda k: k[1].split("|")[-1].split("=")[-1], x)
+    before = None
+    while before != x:  # templates in templates, from the inside
+        before = x
+        x = re.sub(r"\{\{(?:要出典|Citation needed|出典の明記)[^{}]*\}\}", "", x, flags=re.I)
+        x = re.sub(r"^\{\{([^{}|\n]+)\n((?:\|[^\n]*\n)+)\}\}", lambda k: k[1] + "\n" + re.sub(r"^\|[ \t]*([^=\n]+?)[ \t]*=[ \t]*", r"\1: ", k[2], flags=m), x, flags=m)
+        x = re.sub(r"\{\{([^{}\n]*)\}\}", lambda k: k[1].split("|")[-1].split("=")[-1], x)
     x = re.sub(r"^\{\|.*$|^\|\}[ \t]*$|^\|-+.*$", "", x, flags=m)
     x = re.sub(r"^[!|][ \t]*(.+?(?:!!|\|\|).*)$", lambda k: re.sub(r"[ \t]*(?:!!|\|\|)[ \t]*", "\t", k[1]), x, flags=m)
     x = re.sub(r"\[\[(?:Category|カテゴリ):[^\[\]\n]+\]\]", "", x, flags=re.I)
@@ -422,22 +474,66 @@ def _from_wiki(x: str) -> str:
     return re.sub(r"__[A-Z]{3,}__", "", x)
 
 
+_COMMAND = re.compile(r"\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?\{|[{}\\]")
+# Commands by what becomes of them.
+_HEADS = {"part", "chapter", "section", "subsection", "subsubsection", "paragraph", "subparagraph"}
+_SHOWN = {"textbf", "textit", "texttt", "emph", "underline", "textsc", "textrm", "textsf", "mbox", "hbox", "caption", "title", "author", "date", "text", "uline"}
+_CITES = {"cite", "citep", "citet", "ref", "eqref", "pageref", "autoref"}
+_FACE = re.compile(r"\\(?:bf|it|em|tt|sc|rm|sf|sl|bfseries|itshape|ttfamily|scshape|small|large|Large|footnotesize|normalsize)\b[ \t]*")
+
+
+def _commands(x: str) -> str:
+    """Commands with arguments, from the inside out: each argument is a node that holds what is written in it."""
+    nodes: list[tuple[str, list[str]]] = [("", [])]  # what opened the node, and what came out of it so far
+    at = 0
+    for m in _COMMAND.finditer(x):
+        if m.start() < at:
+            continue
+        nodes[-1][1].append(x[at : m.start()])
+        at = m.end()
+        if m[0] == "\\":  # an escaped sign, or a command without argument
+            nodes[-1][1].append(x[m.start() : m.end() + 1])
+            at += 1
+        elif m[0] != "}":
+            nodes.append((m[0], []))
+        elif len(nodes) > 1:
+            opened, inside = nodes.pop()
+            nodes[-1][1].append(_command(opened, "".join(inside)))
+        else:
+            nodes[-1][1].append("}")
+    nodes[-1][1].append(x[at:])
+    while len(nodes) > 1:  # never closed: as it was
+        opened, inside = nodes.pop()
+        nodes[-1][1].append(opened + "".join(inside))
+    return "".join(nodes[0][1])
+
+
+def _command(opened: str, inside: str) -> str:
+    """What becomes of a command with its argument, or of a group."""
+    if opened == "{":
+        face = _FACE.match(inside)
+        return inside[face.end() :] if face else "{" + inside + "}"
+    name = re.match(r"\\([A-Za-z]+)", opened)[1]
+    if name in _HEADS:
+        return _heading(inside)
+    if name == "label":
+        return ""
+    if name in _SHOWN:
+        return inside
+    if name == "footnote":
+        return f"（{inside}）"
+    if name in _CITES:
+        return f"[{inside}]"
+    return opened + inside + "}"
+
+
 def _from_latex(x: str) -> str:
     m = re.M
     x = re.sub(r"^%.*\n?", "", x, flags=m)
-    x = re.sub(r"\\(?:part|chapter|(?:sub){0,2}section|paragraph)\*?\{([^{}]*)\}", lambda k: _heading(k[1]), x)
-    x = re.sub(r"\\label\{[^{}]*\}", "", x)
-    x = re.sub(r"\\begin\{(equation|align|gather|multline|eqnarray)(\*?)\}(.*?)\\end\{\1\2\}", lambda k: "\n\n" + k[3].strip() + "\n\n", x, flags=re.S)
-    x = re.sub(r"\$\$(.*?)\$\$|\\\[(.*?)\\\]", lambda k: "\n\n" + (k[1] or k[2] or "").strip() + "\n\n", x, flags=re.S)
     x = re.sub(r"\\begin\{tabular\}(?:\[[^\]]*\])?\{[^{}]*\}(.*?)\\end\{tabular\}", lambda k: "\n" + "\n".join(re.sub(r"[ \t]*(?<!\\)&[ \t]*", "\t", r.strip()) for r in re.split(r"\\\\|\\hline", k[1]) if r.strip()) + "\n", x, flags=re.S)
     x = re.sub(r"[ \t]*\\item(?:\[[^\]]*\])?[ \t]*", "・", x)
     x = re.sub(r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]]*\])?", "\n", x)
-    x = re.sub(r"\\footnote\{([^{}]*)\}", r"（\1）", x)
-    x = re.sub(r"\\(?:cite|ref|eqref|pageref)[pt]?\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"[\1]", x)
-    for _ in range(3):
-        x = re.sub(r"\\(?:textbf|textit|texttt|emph|underline|textsc|textrm|mbox|caption|title|author|section)\{([^{}]*)\}", r"\1", x)
-    x = re.sub(r"\$(?=[^\s$])([^$\n]{1,400}?)(?<=\S)\$", lambda k: k[1] if re.search(r"[\\^_{}=]|^[A-Za-z]", k[1]) else k[0], x)
-    x = re.sub(r"\\\((.*?)\\\)", r"\1", x)
+    x = _commands(x)
     x = re.sub(r"\\hline\b", "", x)
     return re.sub(r"~(?=\[)", " ", x)
 
@@ -445,20 +541,27 @@ def _from_latex(x: str) -> str:
 _CLEAN = {"wiki": _from_wiki, "markdown": _from_markdown, "latex": _from_latex, "html": _from_html}
 
 
-def clean_text(text: str, found: list[str]) -> str:
+def clean_text(text: str, found: list[str], nodes: list[tuple[int, int, str, float]] | None = None) -> str:
     """The text without the markup found in it.
 
     Headings stand alone between blank lines, list entries begin with a middle
-    dot, table rows keep their lines with cells parted by tabs, code is
-    indented, formulas keep their source. Page marks stay.
+    dot, table rows keep their lines with cells parted by tabs, code of several
+    lines is indented. The insides of code and formulas come out as they are,
+    and so do the constructs that ``nodes``, the marginals of the page's tree,
+    call content. Page marks stay.
     """
+    if not found:
+        return text
+    content = []
+    if nodes:
+        content = [(start, end) for (start, end, label, _), c in zip(nodes, constructs(text)[0], strict=True) if label == "text" and FORMS[c.form] in _CONTENT]
+    text, kept = _held(text, found, content)
     for name in ("wiki", "markdown", "latex", "html"):
         if name in found:
             text = _CLEAN[name](text)
-    if found:
-        text = re.sub(r"(?<![ \t])[ \t]+(?=\n|\Z)", "", text)
-        text = re.sub(r"\n{3,}", "\n\n", text).strip("\n")
-    return text
+    text = re.sub("\ue010(\\d+)\ue011", lambda m: kept[int(m[1])], text)
+    text = re.sub(r"(?<![ \t])[ \t]+(?=\n|\Z)", "", text)
+    return re.sub(r"\n{3,}", "\n\n", text).strip("\n")
 
 
 def may_hold(text: Column) -> Column:
@@ -489,8 +592,9 @@ def cleaned(df: DataFrame, text: str = "text", out: str = "clean") -> DataFrame:
     @F.pandas_udf("clean string, markup array<string>")
     def run(s: pd.Series) -> pd.DataFrame:
         texts = list(s)
-        names = [languages(x, nodes) if x else [] for x, nodes in zip(texts, read(texts), strict=True)]
-        return pd.DataFrame({"clean": [x if not n else clean_text(x, n) for x, n in zip(texts, names, strict=True)], "markup": names})
+        nodes = read(texts)
+        names = [languages(x, own) if x else [] for x, own in zip(texts, nodes, strict=True)]
+        return pd.DataFrame({"clean": [x if not n else clean_text(x, n, own) for x, n, own in zip(texts, names, nodes, strict=True)], "markup": names})
 
     needs = may_hold(F.col(text))
     done = run(F.when(needs, F.col(text)))

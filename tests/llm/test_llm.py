@@ -85,6 +85,34 @@ def test_clean_text_keeps_structure():
     assert t.startswith("題") and "・甲" in t and "値は x^2 で[r1]。" in t
 
 
+def cleaned(text):
+    nodes = markup.read([text])[0]
+    return markup.clean_text(text, markup.languages(text, nodes), nodes)
+
+
+def test_code_and_formulas_come_out_untouched():
+    code = "def __init__(self):\n- 1\n# no heading\nreturn x**2 + y**2 + `a` + <b>&lt;"
+    assert cleaned(f"# 題\n\n```python\n{code}\n```\n\n本文の **強調**。") == "題\n\n" + "\n".join("    " + x for x in code.split("\n")) + "\n\n本文の 強調。"
+    assert cleaned("\\section{題}\n\\begin{verbatim}\n% keep \\item\n  $x$ {y}\n\\end{verbatim}\n\\textbf{甲}") == "題\n\n    % keep \\item\n      $x$ {y}\n\n甲"
+    assert cleaned("<p>次のとおり。</p><pre><code>- a\n*q* &lt;b&gt; `c`</code></pre>\n<ul><li>甲</li></ul>") == "次のとおり。\n\n    - a\n    *q* <b> `c`\n\n・甲"
+    assert cleaned("\\section{A {\\bf b} c}\n本文\\footnote{甲の\\emph{乙}} である。") == "A b c\n\n本文（甲の乙） である。"
+    assert cleaned("# 題\n\n値は `a_*b*_c` と $x_1 * y_2 = \\frac{a}{b}$ である。") == "題\n\n値は a_*b*_c と x_1 * y_2 = \\frac{a}{b} である。"
+    assert cleaned("== 題 ==\n<nowiki>'''x''' [[y]]</nowiki>と'''甲'''") == "題\n\n'''x''' [[y]]と甲"
+    assert cleaned("# 題\n\n\ue0100\ue011 の `x`") == "題\n\n\ue0100\ue011 の x"
+    assert cleaned("\\section{題\n閉じない {") == "\\section{題\n閉じない {"
+
+
+def test_long_templates_and_formulas():
+    long = "甲" * 900
+    assert kinds(f"値は $x_1 = {long}$ と {{{{情報|名称={long}}}}} である。\n\n== 題 ==") == ["wiki", "latex"]
+    assert cleaned(f"== 題 ==\n{{{{情報|名称={{{{乙|{long}}}}}}}}}") == f"題\n\n{long}"
+
+
+def test_content_stays_where_the_tree_says_so():
+    """Stars, dollars and underscores of prose among another language's markup are content."""
+    assert cleaned("<p>係数は 5 * 3 * 2、費用は $3145 から $5520、名前は get_item と max_value。</p>") == "係数は 5 * 3 * 2、費用は $3145 から $5520、名前は get_item と max_value。"
+
+
 def test_markup_frames(spark):
     df = spark.createDataFrame([(1, "<p>a</p>", 0), (2, None, 0), (3, "", 0), (4, "素", 0)], "id int, text string, clean int")
     assert [tuple(r) for r in markup.found(df, "id").collect()] == [(1, "html")]
