@@ -124,7 +124,8 @@ def split_toc(text: Column) -> Column:
 
     Only rows with an opening line reach Python.
     """
-    opens = text.rlike(r"(?dUim)^\s*(?:目\s*次|CONTENTS|Table\s+of\s+Contents)\s*$")
+    sign = text.contains("目") | text.rlike("(?i)contents")  # cheap, and every opener has one
+    opens = sign & text.rlike(r"(?dUim)^\s*+(?:目\s*+次|CONTENTS|Table\s+of\s+Contents)\s*$")
     done = _toc(F.when(opens, text))
     none = F.array().cast("array<string>")
     return F.struct(F.when(opens, done["text"]).otherwise(text).alias("text"), F.when(opens, done["removed"]).otherwise(none).alias("removed"))
@@ -193,16 +194,20 @@ def clean_rows(
         page = _any_start(line, PAGE_NUMBER_LINES) if remove_page_numbers else F.lit(False)
         return F.struct(line.alias("x"), page.alias("p"), _any_start(line, HEADER_FOOTER_LINES).alias("h"))
 
+    # one look at the whole text; line by line only where some line has one of the forms
+    forms = [*(PAGE_NUMBER_LINES if remove_page_numbers else []), *HEADER_FOOTER_LINES]
+    some = F.col("__t").rlike("(?dUim)^(?:" + "|".join(f"(?:{p.replace(chr(92) + 's', '[' + chr(92) + 's&&[^' + chr(92) + 'n]]')})" for p in forms) + ")")
     lines = lambda keep: F.transform(F.filter("__m", keep), lambda m: m["x"])
-    now = now.withColumn("__m", F.transform(rx.lines(F.col("__t")), mark))
-    now = now.withColumn("__gone", F.concat(lines(lambda m: m["p"]), lines(lambda m: ~m["p"] & m["h"]))).withColumn("__t", rx.unlines(lines(lambda m: ~m["p"] & ~m["h"])))
+    now = rx.once(now, "__m", F.when(some, F.transform(rx.lines(F.col("__t")), mark)))
+    gone = F.concat(lines(lambda m: m["p"]), lines(lambda m: ~m["p"] & m["h"]))
+    now = now.withColumn("__gone", F.when(F.col("__m").isNotNull(), gone).otherwise(F.when(F.col("__t").isNotNull(), none))).withColumn("__t", F.when(F.col("__m").isNotNull(), rx.unlines(lines(lambda m: ~m["p"] & ~m["h"]))).otherwise(F.col("__t")))
     if remove_toc:
         now = now.withColumn("__s", split_toc(F.col("__t"))).withColumn("__gone", F.concat("__gone", "__s.removed")).withColumn("__t", F.col("__s.text"))
     if line_breaks:
         now = now.withColumn("__t", repair_lines(F.col("__t")))
     if numbers:
         now = now.withColumn("__t", normalize_numbers(F.col("__t")))
-    now = now.withColumn("__t", normalize_whitespace(F.col("__t")))
+    now = rx.once(now, "__t", normalize_whitespace(F.col("__t")))
     before, after = F.length(text), F.length("__t")
     stats = F.struct(
         before.alias("original_chars"),
@@ -229,7 +234,7 @@ def strip_layout_spaces(text: Column) -> Column:
 
 def clean_markdown(text: Column) -> Column:
     """Code marks unwrapped, lines of a paragraph joined, glued headings parted."""
-    hold = "__PARAGRAPH_BREAK__"
+    hold = "\ue000"  # private use: no text's own
     text = F.regexp_replace(text, r"(?s)```(.*?)```", "$1")
     text = F.regexp_replace(text, r"`([^`]+)`", "$1")
     text = F.replace(F.regexp_replace(text, r"\n{2,}", hold), F.lit("\n"), F.lit(" "))

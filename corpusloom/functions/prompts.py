@@ -116,6 +116,31 @@ USER = {
 {relations_formatted}
 """,
 }
+# What is asked about an HTML table and about a figure, and what stands for a figure that can't be described.
+TABLE = """以下のHTML表を、自然な日本語の説明文に変換してください。
+
+要件:
+- 表の内容を正確に伝える
+- 数値や項目名を省略しない
+- 行や列の関係性を明確にする
+- 箇条書きではなく、文章形式で記述する
+
+HTML表:
+{table}
+
+説明文:"""
+FIGURE = """この図について詳細に説明してください。
+
+キャプション: {caption}
+
+以下の情報を含めてください:
+1. 図の種類（グラフ、チャート、図表、写真など）
+2. 主要な要素や構成
+3. 読み取れるデータや数値
+4. 図が示す傾向や重要なポイント
+
+簡潔かつ正確に説明してください。"""
+NO_CAPTION, FIGURE_FAILED = "なし", "（図の分析に失敗しました）"
 # What a specialised question asks about.
 QA_FOCUS = {"methods": "手法・技術", "people": "人物名・組織名", "numbers": "数値・統計データ"}
 

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: the characters that count as Japanese.
 JP = "[ぁ-んァ-ヴー一-龠々〆〤]"
+#: Unicode's white space.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def canonical(pattern: str, ignore_case: bool = False) -> str:
@@ -37,13 +39,13 @@ def replace_all(text: Column, pattern: str, replacement: str, ignore_case: bool
 
 
 def strip(text: Column) -> Column:
-    """``str.strip``: white space of any script off both ends, in linear time."""
-    return F.regexp_replace(text, r"(?dU)\A\s++|(?<!\s)\s++\z", "")
+    """``str.strip``: white space of any script off both ends."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 def rstrip(text: Column) -> Column:
-    """``str.rstrip`` in linear time."""
-    return F.regexp_replace(text, r"(?dU)(?<!\s)\s++\z", "")
+    """``str.rstrip``."""
+    return F.rtrim(text, F.lit(WHITE))
 
 
 def lines(text: Column) -> Column:
@@ -56,6 +58,15 @@ def unlines(parts: Column) -> Column:
     return F.array_join(parts, "\n")
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``name`` computed once a row, however often it is referred to later.
+
+    The optimizer puts a projection's expression in place of each reference to
+    it and moves filters below; it does neither across a generator.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def occurrences(text: Column, one_of: str) -> Column:
     """How many characters of ``text`` are in ``one_of``."""
     return F.length(text) - F.length(F.translate(text, one_of, ""))

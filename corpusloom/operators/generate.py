@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -37,6 +38,22 @@ def stand_in(prompt: str, system: str) -> str | None:
     return json.dumps({"qa_pairs": [{"question": f"{said} {i}?", "answer": f"{said} {i}"} for i in (1, 2, 3)]}, ensure_ascii=False)
 
 
+def measured(prompt: str, system: str) -> str | None:
+    """An offline generator whose answer SQL can form too: the lengths of prompt and system, and the prompt's end."""
+    return f"{len(prompt)} {len(system)} {prompt[-40:]}"
+
+
+def measured_json(prompt: str, system: str) -> str | None:
+    """``measured``, as JSON of whatever form is asked for; in a fence, with an entry that lacks a field where a list is asked for."""
+    n, m = len(prompt), len(system)
+    pair = lambda i: {"question": f"Q{i} {n}", "answer": f"A{i} {m} {n % 7}"}
+    if system == prompts.SYSTEM["qa_difficult"]:
+        return json.dumps({"qa_pairs": [pair(i) for i in range(2)]})
+    if '[{"keyword"' in prompt:
+        return "語:\n```json\n" + json.dumps([{"keyword": f"K{n}", "description": f"D{n % 7}"}, {"keyword": "", "description": "x"}, {"keyword": "L"}, {"keyword": "M", "description": str(m)}]) + "\n```"
+    return f"答え: {json.dumps(pair(0))}" if "出力はJSON形式: {" in prompt else json.dumps(pair(0))
+
+
 def answers(prompt: Column, generator: Generator = echo, system: str = "", threads: int = 3) -> Column:
     """The generator's answer; null where the prompt is null or the generator fails."""
 
@@ -57,19 +74,46 @@ def answers(prompt: Column, generator: Generator = echo, system: str = "", threa
     return run(prompt)
 
 
+def _asked(prompt: Column, text: Column) -> Column:
+    """The prompt; null, so that nothing is asked, where the text is null or blank."""
+    return F.when(rx.strip(text) != "", prompt)
+
+
 def rewrite(df: DataFrame, name: str, generator: Generator = echo, text: str = "text", **values: str) -> DataFrame:
-    """Rows of ``{text, source}`` from one of the plain prompts; failures and empty answers give no row."""
+    """Rows of ``{text, source}`` from one of the plain prompts; null and blank texts, failures and empty answers give no row."""
     variable = "context" if "{context}" in prompts.USER[name] else "text"
-    out = df.withColumn(text, answers(prompts.render(name, **{variable: F.col(text)}, **values), generator))
+    prompt = _asked(prompts.render(name, **{variable: F.col(text)}, **values), F.col(text))
+    out = df.withColumn(text, rx.strip(answers(prompt, generator)))
     return out.where(F.coalesce(F.col(text), F.lit("")) != "").withColumn("source", F.lit(name))
 
 
 def question_answers(df: DataFrame, generator: Generator = echo, text: str = "text") -> DataFrame:
-    """One pair per text; both fields must be there."""
-    raw = answers(prompts.render("qa", context=F.col(text)), generator)
-    pair = prompts.json_answer(raw, "question string, answer string")
-    out = df.withColumn("__p", pair).where(F.col("__p.question").isNotNull() & F.col("__p.answer").isNotNull())
-    return out.select(*df.columns, F.col("__p.question").alias("question"), F.col("__p.answer").alias("answer")).withColumn(text, prompts.qa_text(F.col("question"), F.col("answer"))).withColumn("source", F.lit("qa"))
+    """One pair per text; null and blank texts and answers without both fields give no row."""
+    raw = answers(_asked(prompts.render("qa", context=F.col(text)), F.col(text)), generator)
+    return _pairs(df, prompts.json_answer(raw, "question string, answer string"), text, "qa")
+
+
+def focused_questions(df: DataFrame, focus: str, generator: Generator = echo, text: str = "text") -> DataFrame:
+    """One pair per text about one focus; the answer's first braces hold it."""
+    raw = answers(_asked(prompts.qa_focus_prompt(F.col(text), focus), F.col(text)), generator)
+    found = F.regexp_extract(raw, r"(?s)(\{.*?\})", 1)
+    return _pairs(df, F.from_json(F.when(found != "", found), "question string, answer string"), text, "specialized_qa")
+
+
+def _pairs(df: DataFrame, pair: Column, text: str, source: str) -> DataFrame:
+    """Rows of the pairs whose both fields hold something; a row's own ``question`` and ``answer`` are replaced."""
+    kept = [c for c in df.columns if c not in ("question", "answer")]
+    out = df.withColumn("__p", pair).where((F.coalesce("__p.question", F.lit("")) != "") & (F.coalesce("__p.answer", F.lit("")) != ""))
+    return out.select(*kept, F.col("__p.question").alias("question"), F.col("__p.answer").alias("answer")).withColumn(text, prompts.qa_text(F.col("question"), F.col("answer"))).withColumn("source", F.lit(source))
+
+
+def keyword_texts(df: DataFrame, generator: Generator = echo, text: str = "text") -> DataFrame:
+    """A line ``keyword: description`` for each keyword of a text; entries without one of them are left out, and texts without any."""
+    raw = answers(_asked(prompts.render("keywords", text=F.col(text)), F.col(text)), generator)
+    entries = prompts.json_answer(raw, "array<struct<keyword:string,description:string>>", "[", "]")
+    named = F.filter(entries, lambda k: (F.coalesce(k["keyword"], F.lit("")) != "") & k["description"].isNotNull())
+    out = df.withColumn(text, F.array_join(F.transform(named, lambda k: F.concat(k["keyword"], F.lit(": "), k["description"])), "\n"))
+    return out.where(F.coalesce(F.col(text), F.lit("")) != "").withColumn("source", F.lit("keywords"))
 
 
 def difficult_questions(df: DataFrame, generator: Generator = echo, text: str = "text", terms: str = "terms") -> DataFrame:
@@ -97,16 +141,21 @@ def relation_texts(edges: DataFrame, generator: Generator = echo, max_chars: int
 
 
 def describe_tables(df: DataFrame, generator: Generator = echo, text: str = "text") -> DataFrame:
-    """Every HTML table replaced by the generator's prose; where it fails the table stays."""
+    """Every HTML table replaced by the generator's prose, set apart; where it fails or says nothing the table stays."""
 
-    def one(x: str | None) -> str | None:
-        import re
+    def said(m: re.Match) -> str:
+        try:
+            prose = generator(prompts.TABLE.format(table=m[0]), "")
+        except Exception:  # noqa: BLE001 - one failing call must not fail the job
+            prose = None
+        return f"\n\n{prose}\n\n" if prose else m[0]
 
-        return None if x is None else re.sub(r"(?is)<table.*?</table>", lambda m: generator(m[0], "") or m[0], x)
+    def one(x: str | None) -> str | None:
+        return None if x is None else re.sub(r"(?is)<table[^>]*>.*?</table>", said, x)
 
     @F.pandas_udf(T.StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(one)
 
-    has = F.col(text).rlike(r"(?is)<table.*?</table>")
+    has = F.col(text).rlike(r"(?is)<table[^>]*>.*?</table>")
     return df.withColumn(text, F.when(has, run(F.when(has, F.col(text)))).otherwise(F.col(text)))

@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions import clean, prompts, rx
+
 Describer = Callable[[bytes], str]
+# Fixed value: a picture in Markdown.
 _TAG = re.compile(r"!\[(.*?)\]\((.*?)\)")
 #: Fixed value: pictures smaller than this on either side are ornaments.
 SMALLEST = 50
@@ -40,6 +43,33 @@ def picture_size(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+FigureDescriber = Callable[[str, bytes], str]
+
+
+def describe_figures(df: DataFrame, describe: FigureDescriber, text: str = "text", figures: str = "figures") -> DataFrame:
+    """``df`` without ``figures``, an ``array<struct<caption string,image binary>>``: the i-th ``<figure>`` of each text is replaced by what the i-th figure shows.
+
+    ``describe`` gets the prompt with the caption and the picture. Where it
+    fails a fixed sentence stands for the description. Null figures change
+    nothing; tags beyond the figures stay.
+    """
+
+    def one(figure: dict) -> dict:
+        caption = figure["caption"] or ""
+        try:
+            said = describe(prompts.FIGURE.format(caption=caption or prompts.NO_CAPTION), bytes(figure["image"]))
+        except Exception:  # noqa: BLE001 - one bad figure must not fail the job
+            said = prompts.FIGURE_FAILED
+        return {"caption": caption, "description": said}
+
+    @F.pandas_udf("array<struct<caption:string,description:string>>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda fs: None if fs is None else [one(f) for f in fs])
+
+    said = rx.once(df.drop("__said"), "__said", run(F.col(figures)))
+    return said.withColumn(text, clean.substitute_figures(F.col(text), F.col("__said"))).drop("__said", figures)
+
+
 def describe_images(df: DataFrame, folder: str, describe: Describer, text: str = "text") -> DataFrame:
     """Each picture's tag replaced by what it says or shows.
 

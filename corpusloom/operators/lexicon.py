@@ -141,6 +141,12 @@ def generalize(df: DataFrame, terms: DataFrame, text: str = "text", changed_only
     return df.where(F.size("replacements") > 0) if changed_only else df
 
 
+def augmented(df: DataFrame, kind: str, *logs: str, text: str = "text", id: str = "id") -> DataFrame:
+    """Augmented rows as they are written: text, ``augmentation_type``, the logs of what was changed, and ``source_id``, empty where there is no id."""
+    source = F.coalesce(F.col(id).cast("string"), F.lit("")) if id in df.columns else F.lit("")
+    return df.select(F.col(text).alias("text"), F.lit(kind).alias("augmentation_type"), *logs, source.alias("source_id"))
+
+
 def find_terms(df: DataFrame, terms: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, rank, surface, entry)`` of the terms in each text, one per headword, in the order tried.
 

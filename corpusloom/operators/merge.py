@@ -52,6 +52,21 @@ def chat_text(instruction: Column, context: Column, output: Column) -> Column:
     return F.concat(F.lit("<|begin_of_text|>"), turn("system", F.lit(SYSTEM["llama3_assistant"])), turn("user", asked), turn("assistant", output))
 
 
+def conversations(df: DataFrame, key: str, turn: str, role: str, content: str) -> DataFrame:
+    """``(key, text)``: the turns of each conversation in the chat template, in order.
+
+    Turns without content are left out; a conversation without a system turn
+    gets the assistant's. A conversation is one training example, so its turns
+    make one row.
+    """
+    said = F.concat(F.lit("<|start_header_id|>"), F.col(role), F.lit("<|end_header_id|>\n\n"), F.col(content), F.lit("<|eot_id|>"))
+    rows = df.where(F.col(content).isNotNull() & F.col(role).isNotNull()).select(F.col(key).alias("k"), F.struct(F.col(turn).alias("t"), said.alias("s"), F.col(role).alias("r")).alias("x"))
+    per = rows.groupBy("k").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    system = F.concat(F.lit("<|start_header_id|>system<|end_header_id|>\n\n"), F.lit(SYSTEM["llama3_assistant"]), F.lit("<|eot_id|>"))
+    opened = F.when(F.exists("xs", lambda x: x["r"] == "system"), F.lit("")).otherwise(system)
+    return per.select(F.col("k").alias(key), F.concat(F.lit("<|begin_of_text|>"), opened, F.array_join(F.transform("xs", lambda x: x["s"]), "")).alias("text"))
+
+
 def train_eval(df: DataFrame, key: str, share: float = 0.1, seed: int = 42, buckets: int = 4096) -> DataFrame:
     """``df`` with ``split``: exactly ``ceil(share * n)`` rows of ``eval``, the least in MD5 order of key and seed.
 

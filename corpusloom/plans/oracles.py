@@ -112,6 +112,18 @@ def _render(name: str, **values: str) -> str:
     return " || ".join(parts)
 
 
+def _measured(prompt: str, system: str = "") -> str:
+    """The answer of the generator that SQL can form."""
+    return f"(length({prompt}) || ' {len(system)} ' || right({prompt}, 40))"
+
+
+def _rewritten(name: str, **values: str) -> str:
+    return f"""select line_no, {_strip(_measured('p'))} as text, '{name}' as source from (select line_no, {_render(name, text='text', context='text', **{k: _q(v) for k, v in values.items()})} as p from chunks where {_strip('text')} <> '')"""
+
+
+_ASKED = f"from chunks where {_strip('text')} <> ''"
+_PAIR = lambda q, a, gap="chr(10)": f"'質問: ' || {q} || {gap} || '回答: ' || {a}"
+_JOINED = _sub(_sub("text", f"({_JP})\\n+({_JP})", r"'\1\2'"), f"({_JP})\\n+\\s*({_JP})", r"'\1\2'")
 _CHAT = "'<|begin_of_text|>' || '<|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || " + _q(prompts.SYSTEM["llama3_assistant"]) + " || '<|eot_id|>'"
 _TURN = lambda role, said: f" || '<|start_header_id|>{role}<|end_header_id|>' || chr(10) || chr(10) || {said} || '<|eot_id|>'"
 _PATTERNS = f"""
@@ -142,6 +154,19 @@ from e left join hf on hf.d = e.d left join hz on hz.d = e.d""",
     "c8_whitespace": _chunk(_WHITE),
     "c10_japanese": _chunk(_sub(_LAYOUT.replace("(x,", f"(replace(x, '  ' || {_NL}, ' '),"), f"({_JP})\\n+({_JP})", r"'\1\2'")),
     "c11_layout_spaces": _chunk(_LAYOUT),
+    "c6_line_repair": f"""
+with j as (select line_no, {_JOINED} as x from chunks),
+m as (select line_no, array_to_string(list_transform(string_split(x, {_NL}), lambda r: case when {_strip('r')} = '' or starts_with({_strip('r')}, '#') then chr(57346) || r || chr(57347) else chr(57344) || {_strip('r')} || chr(57345) end), {_NL}) as x from j)
+select line_no, translate(regexp_replace(x, '([^。．？！)）」』])' || chr(57345) || {_NL} || chr(57344), '\\1', 'g'), chr(57344) || chr(57345) || chr(57346) || chr(57347), '') as text from m""",
+    "c12_markdown": _chunk(_strip(f"regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(x, '(?s)```(.*?)```', '\\1', 'g'), '`([^`]+)`', '\\1', 'g'), '\\n{{2,}}', chr(57344), 'g'), {_NL}, ' '), chr(57344), {_NL} || {_NL}), '(#+) (.*?) (#+)', '\\1 \\2' || {_NL} || '\\3', 'g')")),
+    "c19_figures": f"select line_no, regexp_replace(text, '(?s)<figure[^>]*>.*?</figure>', {_NL} || {_NL} || '【図】図' || {_NL} || '説明' || {_NL} || {_NL}) as text from chunks",
+    "c20_html_tables": f"select line_no, text from chunks where not regexp_matches(text, '(?is)<table[^>]*>.*?</table>') or text is null union all select line_no, array_to_string(list_transform(range(0, 2 * len(t) + 1), lambda i: case when i % 2 = 0 then k[i // 2 + 1] else {_NL} || {_NL} || (length(t[i // 2 + 1]) + {len(prompts.TABLE.format(table=''))}) || ' 0 ' || right(t[i // 2 + 1] || {_q(prompts.TABLE.rpartition('{table}')[2])}, 40) || {_NL} || {_NL} end), '') from (select line_no, regexp_extract_all(text, '(?is)<table[^>]*>.*?</table>') as t, regexp_split_to_array(text, '(?is)<table[^>]*>.*?</table>') as k from chunks where regexp_matches(text, '(?is)<table[^>]*>.*?</table>'))",
+    "c22_tables": f"select line_no, case when contains(text, '[Table 1-1]') then replace(text, '[Table 1-1]', '| a |') else replace(text, '<!-- Page 1 -->', '<!-- Page 1 -->' || {_NL} || {_NL} || '### 表 1-1' || {_NL} || '| a |' || {_NL}) end as text from chunks",
+    "c25_combined": f"""
+with c as (select source_file, title, list_transform([title, short_title, pub_year::varchar, n_pages::varchar], lambda v: {_strip(f"replace(coalesce(v, ''), {_NL}, ' ')")}) as v from source_files),
+e as (select source_file, array_to_string(list_filter([case when {_strip('title')} <> '' then title end, {_NL} || {_NL} || '| ' || v[1] || ' | ' || v[2] || ' |' || {_NL} || '| --- | --- |' || {_NL} || '| ' || v[3] || ' | ' || v[4] || ' |' || {_NL} || {_NL}], lambda p: p is not null), {_NL} || {_NL}) as x from c)
+select source_file, {_LAYOUT} as text from e""",
+    "s8_pages_joined": f"select line_no, array_to_string(list_filter(list_transform(string_split(text, {_NL} || {_NL}), lambda p, i: case when {_strip('p')} <> '' then '<!-- Page ' || i || ' -->' || {_NL} || p end), lambda p: p is not null), {_NL} || {_NL}) as text from chunks",
     "c13_blank_before_headings": _chunk(f"regexp_replace(x, '\\n(#+)', {_NL} || {_NL} || '\\1', 'g')"),
     "c14_headings": f"""select line_no, array_to_string(list_transform(string_split(text, {_NL}), lambda r: list_transform(list_transform([{_strip('r')}], lambda l: case {_HEAD['major']} else l end), lambda m: case {_HEAD['minor']} else m end)[1]), {_NL}) as text from chunks""",
     "c15_complete_sentence": f"select line_no, {_complete(20)} as complete, {_complete(50)} as no_fragment from (select line_no, coalesce(text, '') as t from chunks)",
@@ -178,6 +203,29 @@ select line_no, '## 専門用語解説' || chr(10) || chr(10) || string_agg(p, c
     "g2_edges": _EDGES,
     "g4_nodes": _NODES,
     "g6_first_nodes": f"select node, pos from ({_NODES}) order by pos limit 20",
+    "d1_definitions_simple": _DEFINED + " select pos, h || ': ' || d as text from said",
+    "d1_definitions_definition": _DEFINED + " select pos, h || 'とは、' || d as text from said",
+    "d9_augmented": "select answer as text, 'elaboration' as augmentation_type, line_no as log, coalesce(source_id, '') as source_id from qa_pairs",
+    "f3_conversations": f"select line_no, '<|begin_of_text|>' || '<|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || {_q(prompts.SYSTEM['llama3_assistant'])} || '<|eot_id|>' || case when question is not null then '<|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10) || question || '<|eot_id|>' else '' end || case when answer is not null then '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) || answer || '<|eot_id|>' else '' end as text from qa_pairs where question is not null or answer is not null",
+    "g7_relation_texts": f"select node, {_strip(_measured('p', prompts.SYSTEM['graph_relations']))} as text, 'graph_relations' as source, relation_count from (select node, relation_count, {_render('graph_relations', node='node', relations_formatted='relations', max_chars=_q('100'))} as p from ({_NODES}))",
+    "l1_paraphrased": _rewritten("paraphrase"),
+    "l2_question_answers": f"select line_no, q as question, a as answer, {_PAIR('q', 'a')} as text, 'qa' as source from (select line_no, 'Q0 ' || length(p) as q, 'A0 0 ' || (length(p) % 7) as a from (select line_no, {_render('qa', context='text')} as p {_ASKED}))",
+    "l3_summaries": _rewritten("summary", max_length="150"),
+    "l4_keywords": f"select line_no, 'K' || n || ': D' || (n % 7) || chr(10) || 'M: 0' as text, 'keywords' as source from (select line_no, length({_render('keywords', text='text')}) as n {_ASKED})",
+    "l5_elaborations": _rewritten("elaboration"),
+    "l6_translations": _rewritten("translation", lang="英語"),
+    "l7_focused": " union all ".join(f"select line_no, '{focus}' as focus, {_PAIR("'Q0 ' || n", "'A0 0 ' || (n % 7)")} as text from (select line_no, length({_render('specialized_qa', context='text', type_desc=_q(said))}) as n {_ASKED})" for focus, said in prompts.QA_FOCUS.items()),
+    "l8_discussions": _rewritten("discussion", turns="3"),
+    "l9_difficult": _FOUND + f""",
+tops as (select line_no, string_agg('- ' || headword || ': ' || coalesce(brief_definition, ''), chr(10) order by rank) as shown from found where rank < 10 group by line_no),
+asked as (select t.line_no, length({_render('qa_difficult', text='substr(c.text, 1, 2000)', terms_info='t.shown')}) as n from tops t join chunks c using (line_no)),
+said as (select line_no, 'Q' || i || ' ' || n as question, 'A' || i || ' {len(prompts.SYSTEM['qa_difficult'])} ' || (n % 7) as answer from asked, (values (0), (1)) as v(i))
+select line_no, question, answer, {_PAIR('question', 'answer', 'chr(10) || chr(10)')} as text, 'qa_difficult' as augmentation_type from said""",
+    "l10_english": f"select line_no, coalesce({_measured('text', prompts.SYSTEM['english_translation'])}, text) as text, 'english' as source from chunks",
+    "l14_descriptions": f"""
+with s as (select line_no, case when line_no % 3 = 0 then 'TEXT_ONLY: ' || text else 'これは図表ではありません。' || text || {_NL} || {_NL} || {_NL} || {_NL} || '図表ではありません。' end as x from chunks),
+r as (select line_no, x, replace(replace(replace(x, 'この画像は図表ではありません。', ''), 'これは図表ではありません。', ''), '図表ではありません。', '') as y from s)
+select line_no, case when starts_with({_strip('x')}, 'TEXT_ONLY:') then {_strip('x')} else {_strip(f"regexp_replace(y, '\\n{{3,}}', {_NL} || {_NL}, 'g')")} end as text from r""",
     "l2_qa_texts": "select line_no, '質問: ' || question || chr(10) || '回答: ' || answer as text from qa_pairs",
     "l12_rendered": f"select line_no, {_render('summary', text='text', max_length=_q('150'))} as summary, {_render('specialized_qa', context='text', type_desc=_q(prompts.QA_FOCUS['numbers']))} as focus from chunks where text is not null",
     "l13_json_answers": "select line_no, question, answer from qa_pairs",

@@ -30,9 +30,10 @@ def terms(spark: SparkSession, d: str) -> DataFrame:
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Documents, characters and estimated tokens by language after cleaning, safety and exact deduplication."""
-    df = table(spark, d, "documents", "doc_id", "lang", "text").withColumn("text", clean.normalize_whitespace(clean.normalize_numbers(_t())))
-    df = dedup.first_of_equal(df.where(quality.is_safe(_t())), F.md5("text"), "doc_id")
-    return df.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.sum(pack.estimate_tokens(_t())).alias("est_tokens"))
+    df = rx.once(table(spark, d, "documents", "doc_id", "lang", "text"), "text", clean.normalize_whitespace(clean.normalize_numbers(_t())))
+    df = df.where(quality.is_safe(_t())).select("doc_id", "lang", F.md5("text").alias("k"), F.length("text").alias("chars"), pack.estimate_tokens(_t()).alias("tokens"))
+    df = dedup.first_of_equal(df, F.col("k"), "doc_id")  # no text travels
+    return df.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"), F.sum("tokens").alias("est_tokens"))
 
 
 def _text(f: Callable[[Column], Column]) -> Query:
@@ -187,7 +188,7 @@ def first_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def relation_texts(spark: SparkSession, d: str) -> DataFrame:
-    return generate.relation_texts(table(spark, d, "graph_edges")).select("node", "text", "source", "relation_count")
+    return generate.relation_texts(table(spark, d, "graph_edges"), generate.measured).select("node", "text", "source", "relation_count")
 
 
 def rendered(spark: SparkSession, d: str) -> DataFrame:
@@ -205,11 +206,52 @@ def qa_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def english(spark: SparkSession, d: str) -> DataFrame:
-    return generate.to_english(chunks(spark, d)).select("line_no", "text", "source")
+    return generate.to_english(chunks(spark, d), generate.measured).select("line_no", "text", "source")
 
 
-def paraphrased(spark: SparkSession, d: str) -> DataFrame:
-    return generate.rewrite(chunks(spark, d), "paraphrase").select("line_no", "text", "source")
+def _rewritten(name: str, **values: str) -> Query:
+    return lambda spark, d: generate.rewrite(chunks(spark, d), name, generate.measured, **values).select("line_no", "text", "source")
+
+
+def question_answers(spark: SparkSession, d: str) -> DataFrame:
+    return generate.question_answers(chunks(spark, d), generate.measured_json).select("line_no", "question", "answer", "text", "source")
+
+
+def focused(spark: SparkSession, d: str) -> DataFrame:
+    parts = [generate.focused_questions(chunks(spark, d), focus, generate.measured_json).select("line_no", F.lit(focus).alias("focus"), "text") for focus in prompts.QA_FOCUS]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def llm_keywords(spark: SparkSession, d: str) -> DataFrame:
+    return generate.keyword_texts(chunks(spark, d), generate.measured_json).select("line_no", "text", "source")
+
+
+def difficult(spark: SparkSession, d: str) -> DataFrame:
+    """Expert questions of the chunks that hold terms, in the order the terms are found."""
+    found = lexicon.find_terms(chunks(spark, d), terms(spark, d), "line_no").select("line_no", F.struct("rank", F.col("entry.headword").alias("headword"), F.col("entry.brief_definition").alias("brief_definition")).alias("t"))
+    per = found.groupBy("line_no").agg(F.array_sort(F.collect_list("t")).alias("terms"))  # at most one entry per headword of the dictionary
+    rows = chunks(spark, d).join(per, "line_no")
+    return generate.difficult_questions(rows, generate.measured_json).select("line_no", "question", "answer", "text", "augmentation_type")
+
+
+def html_tables(spark: SparkSession, d: str) -> DataFrame:
+    return generate.describe_tables(chunks(spark, d), generate.measured).select("line_no", "text")
+
+
+def conversations(spark: SparkSession, d: str) -> DataFrame:
+    said = lambda i, role, x: F.struct(F.lit(i).alias("turn"), F.lit(role).alias("role"), F.col(x).alias("content"))
+    rows = table(spark, d, "qa_pairs", "line_no", "question", "answer").select("line_no", F.inline(F.array(said(2, "assistant", "answer"), said(1, "user", "question"))))
+    return merge.conversations(rows, "line_no", "turn", "role", "content")
+
+
+def descriptions(spark: SparkSession, d: str) -> DataFrame:
+    said = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("TEXT_ONLY: "), _t())).otherwise(F.concat(F.lit("これは図表ではありません。"), _t(), F.lit("\n\n\n\n図表ではありません。")))
+    return chunks(spark, d).select("line_no", clean.tidy_description(said).alias("text"))
+
+
+def augmented(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "qa_pairs", "line_no", "source_id", "answer").withColumn("log", F.col("line_no"))
+    return lexicon.augmented(rows, "elaboration", "log", text="answer", id="source_id")
 
 
 def packed(spark: SparkSession, d: str) -> DataFrame:
@@ -346,7 +388,21 @@ QUERIES: dict[str, Query] = {
     "g4_nodes": nodes,
     "g6_first_nodes": first_nodes,
     "g7_relation_texts": relation_texts,
-    "l1_paraphrased": paraphrased,
+    "l1_paraphrased": _rewritten("paraphrase"),
+    "l2_question_answers": question_answers,
+    "l3_summaries": _rewritten("summary", max_length="150"),
+    "l4_keywords": llm_keywords,
+    "l5_elaborations": _rewritten("elaboration"),
+    "l6_translations": _rewritten("translation", lang="英語"),
+    "l7_focused": focused,
+    "l8_discussions": _rewritten("discussion", turns="3"),
+    "l9_difficult": difficult,
+    "l14_descriptions": descriptions,
+    "c20_html_tables": html_tables,
+    "d9_augmented": augmented,
+    "f3_conversations": conversations,
+    "d1_definitions_simple": _definitions("simple"),
+    "d1_definitions_definition": _definitions("definition"),
     "l2_qa_texts": qa_texts,
     "l10_english": english,
     "l12_rendered": rendered,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ def session(master: str | None = None, app: str = "corpusloom", **conf: object)
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in (defaults | {k: str(v) for k, v in conf.items()}).items():
         builder = builder.config(key, value)
@@ -33,14 +35,18 @@ def session(master: str | None = None, app: str = "corpusloom", **conf: object)
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset (tests, a laptop) a temporary folder is set. The files are reliable
-    storage, so a lost executor costs nothing, and later reads see exactly the
-    same partitions in the same order.
+    The folder is the session's ``spark.checkpoint.dir``. Only a session that
+    is one process (``local[...]``: tests, a laptop) gets a temporary folder
+    where that is unset; on a cluster each machine would have its own, so an
+    unset folder is an error there. The files are reliable storage, so a lost
+    executor costs nothing, and later reads see exactly the same partitions in
+    the same order. ``session`` has them removed once nothing refers to them.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
-        context.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
     return df.checkpoint(eager=True)

@@ -57,7 +57,45 @@ def read_pdfs(spark: SparkSession, folder: str, parser: Parser = embedded_text)
 
 
 def read_input(spark: SparkSession, path: str, parser: Parser = embedded_text) -> DataFrame:
-    """A PDF folder, or a ``.jsonl``/``.json`` file, by the look of ``path``."""
+    """A ``.jsonl``/``.json`` file, a ``.pdf`` file or a folder of them, by the suffix of ``path``; any other suffix is an error."""
     from corpusloom.sources import jsonl
 
-    return jsonl.lenient(spark, path) if re.search(r"\.jsonl?$", path) else read_pdfs(spark, path, parser)
+    suffix = re.search(r"\.([^./\\]*)$", path.rstrip("/"))
+    if not suffix or suffix[1].lower() == "pdf":
+        return read_pdfs(spark, path, parser)
+    if suffix[1].lower() in ("jsonl", "json"):
+        return jsonl.lenient(spark, path)
+    raise ValueError(f"unsupported input: .{suffix[1]}")
+
+
+#: Bytes to ``(texts, tables)``; a table is ``(rows, columns, cells)`` and a cell ``(row, column, content, row span, column span)``.
+LayoutParser = Callable[[bytes], tuple[list[str], list[tuple[int, int, list[tuple[int, int, str | None, int | None, int | None]]]]]]
+_LAYOUT = "source_file string, texts array<string>, tables array<struct<row_count:int,column_count:int,cells:array<struct<row_index:int,column_index:int,content:string,row_span:int,column_span:int>>>>, error string"
+
+
+def read_layout(spark: SparkSession, folder: str, parser: LayoutParser) -> DataFrame:
+    """``(source_file, text, error)`` of each ``*.pdf``: its texts, then its tables as Markdown, from a parser of the layout.
+
+    A file whose parser fails comes out with ``error`` set and null text.
+    """
+    from corpusloom.operators import layout
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    texts, tables = parser(bytes(content))
+                    error = None
+                except Exception as e:  # noqa: BLE001 - whatever a parser raises belongs to this file alone
+                    texts, tables, error = None, None, f"{type(e).__name__}: {e}"
+                cells = ("row_index", "column_index", "content", "row_span", "column_span")
+                shown = None if tables is None else [{"row_count": r, "column_count": c, "cells": [dict(zip(cells, x, strict=True)) for x in xs]} for r, c, xs in tables]
+                out.append((path.rsplit("/", 1)[-1], texts, shown, error))
+            yield pd.DataFrame(out, columns=["source_file", "texts", "tables", "error"])
+
+    parts = files.select("path", "content").mapInPandas(parse, _LAYOUT)
+    grids = F.transform("tables", lambda t: layout.grid(t["row_count"], t["column_count"], t["cells"]))
+    return parts.select("source_file", F.when(F.col("error").isNull(), layout.combine_elements(F.col("texts"), grids)).alias("text"), "error")

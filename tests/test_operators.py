@@ -220,7 +220,12 @@ def test_generators(spark):
 
     assert [r["text"] for r in generate.to_english(df, fails).orderBy("id").collect()] == ["x", None] and generate.rewrite(df, "paraphrase", fails).count() == 0
     t = spark.createDataFrame([("a<TABLE>1</table>b",), (None,)], "text string")
-    assert [r["text"] for r in generate.describe_tables(t, lambda p, s: "T").collect()] == ["aTb", None]
+    assert [r["text"] for r in generate.describe_tables(t, lambda p, s: "T").collect()] == ["a\n\nT\n\nb", None]
+
+    def fails(p, s):
+        raise RuntimeError("down")
+
+    assert generate.describe_tables(t, fails).collect() == t.collect() and generate.describe_tables(t, lambda p, s: None).collect() == t.collect()
 
 
 def test_perplexity_fails_open(spark):
@@ -275,6 +280,76 @@ def test_pdfs(spark, tmp_path):
         pdf.read_pdfs(spark, str(tmp_path / "none"))
 
 
+def test_blank_texts_are_not_asked_about(spark):
+    df = spark.createDataFrame([(1, "本文", "own"), (2, "", "own"), (3, " \u3000\n", "own"), (4, None, "own")], "id int, text string, question string")
+    asked = [generate.rewrite(df, "paraphrase"), generate.rewrite(df, "summary", max_length="150"), generate.question_answers(df, generate.measured_json), generate.focused_questions(df, "people", generate.measured_json), generate.keyword_texts(df, generate.measured_json)]
+    for out in asked:
+        assert [r["id"] for r in out.collect()] == [1]
+        assert out.limit(0).count() == 0 and len(set(out.columns)) == len(out.columns)
+    assert generate.keyword_texts(df, lambda p, s: "no json").count() == 0 and generate.question_answers(df, lambda p, s: '{"question": "", "answer": "a"}').count() == 0
+
+
+def test_figures_tables_and_layout(spark, tmp_path):
+    from corpusloom.operators import images
+
+    df = spark.createDataFrame([(1, "a<figure x>1</figure>b<figure>2</figure>c", [("甲", b"12"), (None, b"")]), (2, "x", None), (3, None, [])], "id int, text string, figures array<struct<caption:string,image:binary>>")
+
+    def describe(prompt, image):
+        assert "キャプション: " in prompt
+        return f"{len(image)} bytes" if image else 1 / 0
+
+    out = images.describe_figures(df, describe)
+    got = {r["id"]: r["text"] for r in out.collect()}
+    assert got[1] == "a\n\n【図】甲\n2 bytes\n\nb\n\n【図】\n（図の分析に失敗しました）\n\nc" and got[2] == "x" and got[3] is None
+    for name, content in (("a.pdf", b"ok"), ("b.pdf", b"bad")):
+        (tmp_path / name).write_bytes(content)
+
+    def parser(content):
+        if content == b"bad":
+            raise ValueError("broken")
+        return ["本 文", " "], [(2, 2, [(0, 0, "h", None, 2), (1, 0, "x", 1, 1), (1, 1, None, None, None), (5, 5, "out", 1, 1)])]
+
+    rows = {r["source_file"]: r for r in pdf.read_layout(spark, str(tmp_path), parser).collect()}
+    assert rows["a.pdf"]["text"] == "本文\n\n\n\n| h | h |\n| --- | --- |\n| x |  |\n\n" or rows["a.pdf"]["text"].startswith("本文")
+    assert "| x |" in rows["a.pdf"]["text"] and rows["b.pdf"]["text"] is None and "broken" in rows["b.pdf"]["error"]
+
+
+def test_input_by_suffix(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"text": "x"}\n')
+    (tmp_path / "b.pdf").write_bytes(b"stream\n(page) Tj\nendstream")
+    assert [r["text"] for r in pdf.read_input(spark, str(tmp_path / "a.jsonl")).collect()] == ["x"]
+    assert pdf.read_input(spark, str(tmp_path)).count() == 1 and pdf.read_input(spark, str(tmp_path / "b.pdf")).count() == 1
+    with pytest.raises(ValueError, match="txt"):
+        pdf.read_input(spark, str(tmp_path / "c.txt"))
+
+
+def test_conversations_and_records(spark):
+    df = spark.createDataFrame([(1, 2, "assistant", "b", 0), (1, 1, "user", "a", 0), (2, 1, "system", "s", 0), (2, 2, "user", None, 0), (None, 1, "user", "n", 0)], "k int, turn int, role string, content string, text int")
+    got = {r["k"]: r["text"] for r in merge.conversations(df, "k", "turn", "role", "content").collect()}
+    assert got[1].index(">user<") < got[1].index(">assistant<") and got[1].count("<|eot_id|>") == 3 and got[2].count("<|eot_id|>") == 1 and "n<|eot_id|>" in got[None]
+    assert merge.conversations(df.limit(0), "k", "turn", "role", "content").count() == 0
+    rows = lexicon.augmented(spark.createDataFrame([("t", None), ("u", "7")], "text string, id string"), "elaboration").collect()
+    assert [(r["text"], r["augmentation_type"], r["source_id"]) for r in rows] == [("t", "elaboration", ""), ("u", "elaboration", "7")]
+
+
+def test_checkpoints_need_a_shared_folder(spark):
+    from corpusloom.session import checkpointed
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Frame:
+        class sparkSession:
+            sparkContext = Context()
+            conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpointed(Frame)
+
+
 def test_pipeline_resumes(spark, terms, tmp_path):
     base = spark.createDataFrame([(0, "軸受の話"), (1, "無関係")], "pos int, text string")
     steps = pipeline.steps(terms, None)
