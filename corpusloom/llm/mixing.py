@@ -86,7 +86,7 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str = DEFAULT_PATH, stre
     """
     wanted = targets.where(F.col("target_share") > 0)
     known = docs.join(wanted.select("source"), "source", "left_semi").select("doc_id", "source", "text")
-    counted = checkpointed(count_tokens(known))
+    counted = checkpointed(count_tokens(known, tokenizer=tokenizer))
     # one row per target: the list of wanted sources is configuration, and its size is checked
     rows = totals(counted, wanted).limit(10_001).collect()
     if len(rows) > 10_000:

@@ -17,16 +17,19 @@ part in a pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import checkpointed
 
 CHUNKS, WIDTH = 10, 6
+#: Classes in a bucket that one task joins with each other; a larger bucket is joined in parts of this size.
+HOT = 2_000
 #: Ids whose texts are fetched by a broadcast semi-join; more are fetched by a shuffle join.
 BROADCAST_IDS = 1_000_000
 _WHITE = np.array([c for c in range(0x110000) if chr(c).isspace()], dtype=np.uint32)
@@ -91,7 +94,7 @@ def signatures(column: pa.Array, n: int = 5, symbols: int = CHUNKS * WIDTH) -> n
                 out[:, j] = least >> np.uint32(16)
     for r in np.flatnonzero(short):
         part = codes[bounds[r] : bounds[r + 1]]
-        out[r] = int(_mix(np.array([hash(part.tobytes()) & 0x7FFFFFFFFFFFFFFF], dtype=np.uint64))[0] >> np.uint64(48))
+        out[r] = int(_mix(np.frombuffer(blake2b(part.tobytes(), digest_size=8).digest(), dtype="<u8").copy())[0] >> np.uint64(48))
     return out
 
 
@@ -139,8 +142,17 @@ def _candidates(signed: DataFrame, chunks: int, width: int, distance: int) -> Da
         for out in range(width)
     ]
     index = signed.select("hid", F.explode(F.array(*keys)).alias("k"))
-    met = index.alias("a").join(index.alias("b"), F.col("a.k") == F.col("b.k")).where(F.col("a.hid") < F.col("b.hid"))
-    pairs = met.select(F.col("a.hid").alias("a"), F.col("b.hid").alias("b")).distinct()
+    # one shuffle by bucket serves for counting and joining; buckets of one go no further
+    index = index.withColumn("n", F.count("*").over(Window.partitionBy("k"))).where("n > 1")
+    cold = index.where(F.col("n") <= HOT)
+    met = cold.alias("a").join(cold.alias("b"), F.col("a.k") == F.col("b.k")).where(F.col("a.hid") < F.col("b.hid")).select(F.col("a.hid").alias("a"), F.col("b.hid").alias("b"))
+    # a larger bucket is a square of cells, each of which joins one part of it with another
+    parts = F.ceil(F.col("n") / HOT).cast("int")
+    hot = index.where(F.col("n") > HOT).select("hid", "k", parts.alias("s"), F.pmod(F.xxhash64("hid"), parts).cast("int").alias("own"))
+    every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+    left, right = hot.select(F.col("hid").alias("a"), "k", F.col("own").alias("i"), every.alias("j")), hot.select(F.col("hid").alias("b"), "k", every.alias("i"), F.col("own").alias("j"))
+    salted = left.join(right.hint("shuffle_merge"), ["k", "i", "j"]).where(F.col("a") < F.col("b")).select("a", "b")
+    pairs = met.union(salted).distinct()
     sa, sb = signed.select(F.col("hid").alias("a"), F.col("sig").alias("sa")), signed.select(F.col("hid").alias("b"), F.col("sig").alias("sb"))
     wrong = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
     return pairs.join(sa, "a").join(sb, "b").where(wrong <= distance).select("a", "b")

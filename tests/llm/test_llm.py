@@ -201,6 +201,18 @@ def test_near_pairs_and_groups(spark):
     assert neardup.pairs(df.limit(0)).count() == 0 and neardup.groups(df.limit(0)).count() == 0
 
 
+def test_large_buckets_are_joined_in_parts(spark, monkeypatch):
+    """A family of similar but unequal texts meets in the same buckets; parts of any size give the same pairs."""
+    rng = random.Random(3)
+    base = "".join(rng.choice("装置温度圧力測定結果弁寿命比較") for _ in range(300))
+    rows = [(f"k{i:03}", base[: i % 290] + "甲乙丙丁"[i % 4] * (1 + i // 100) + base[i % 290 :]) for i in range(160)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    want = {tuple(r) for r in neardup.pairs(df).collect()}
+    assert len(want) > 10_000
+    monkeypatch.setattr(neardup, "HOT", 9)
+    assert {tuple(r) for r in neardup.pairs(df).collect()} == want
+
+
 def test_many_copies_stay_one_class(spark):
     t = "装置の温度を測定して結果を表に示した。" * 12
     df = spark.range(3000).select(F.col("id").cast("string"), F.lit(t).alias("text"))
@@ -467,6 +479,10 @@ def test_mixing(spark):
         assert abs(s[k]["share"] - want / 0.95) < 0.002 and s[k]["most_repeats"] <= s[k]["max_repeats"]
     assert s["none"]["share"] == 0 and any(s[k]["most_repeats"] == s[k]["max_repeats"] for k in "abc")
     assert mixing.mix(docs.limit(0), targets).count() == 0
+    other = mixing.mix(docs, targets, "/opt/tokenizers/byte_bpe_50k.tiktoken").groupBy("doc_id").agg(F.max("tokens").alias("n")).collect()
+    text = {i: t for i, _, t in rows}
+    tool = tokens.encoder("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    assert other and all(r["n"] == len(tool.encode_ordinary(text[r["doc_id"]] or "")) for r in other)
 
 
 def test_schedule_adds_up():
