@@ -89,6 +89,8 @@ def pieces_of(text: str, limit: int = 1500, overlap: int = 100, measure: Measure
     the pieces hold the whole text. ``kind`` says what the piece ends at. A text
     of blanks alone is one empty piece.
     """
+    if not 0 <= overlap < limit:
+        raise ValueError("the overlap must be less than the limit")
     b = Boundaries(text)
     size = measure(text)
     if not len(b.solid):

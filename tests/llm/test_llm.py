@@ -137,6 +137,12 @@ def test_pieces_hold_the_text(limit, overlap):
         assert not text[at:].strip()
 
 
+def test_overlap_below_limit():
+    for overlap in (20, 30, -1):
+        with pytest.raises(ValueError, match="overlap"):
+            split.pieces_of("あ" * 50, 20, overlap)
+
+
 def test_cuts_are_natural():
     text = "\n\n".join("あ" * 700 for _ in range(6))
     assert {k for _, _, _, k in split.pieces_of(text)} == {"paragraph", "end"}
