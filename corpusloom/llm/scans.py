@@ -29,7 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.session import checkpointed
@@ -76,8 +76,13 @@ _BARE_NUMBER = re.compile(r"[\s　]*[-+−]?\d[\d.,]*[\s　]*")
 _DIGIT = re.compile(r"\d")
 _VALUES = re.compile(r"測定値|[(（][^()（）]{1,12}[)）]\s*$")
 _MARK = re.compile(r"<!-- Page \d+ -->")
-#: What stands beside the title in a running head: a number, volume, year or chapter.
-_HEAD_REST = re.compile(r"^(?:\d{1,4}|[Pp](?:age)?\.?\d{1,4})|(?:\d{1,4}|[Vv]ol\.?\d+|No\.?\d+|[(（]\d{4}年?(?:\d{1,2}月)?[)）]|第\d+[章節編部巻号回]|[-–—−・|｜/])+$")
+#: What stands beside the title in a running head: a number, volume, year or chapter. Each item is known by its first sign, so that none is read twice.
+_HEAD_FIRST = re.compile(r"\d{1,4}|[Pp](?:age)?\.?\d{1,4}")
+_HEAD_LAST = re.compile(r"(?:\d++|[Vv]ol\.?\d++|No\.?\d++|[(（]\d{4}年?(?:\d{1,2}月)?[)）]|第\d+[章節編部巻号回]|[-–—−・|｜/])++$")
+_DIGITS = "".join(c for c in map(chr, range(0x110000)) if c.isdecimal())
+#: The signs with which the latter ends, and all it may be made of.
+_HEAD_ENDS = ")）章節編部巻号回-–—−・|｜/" + _DIGITS
+_HEAD_SIGNS = _HEAD_ENDS + "(（年月第VvolN."
 
 
 def _flow(text: str) -> str:
@@ -142,11 +147,7 @@ class Batch:
         self.start, self.end = start[word], end[word]
         self.run = run[self.start]
         lower = np.where((codes >= 65) & (codes <= 90), codes + 32, codes).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.full(len(codes) + 1, _BASE, dtype=np.uint64))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(lower * power[:-1])])
-            back = np.cumprod(np.full(len(codes) + 1, _INVERSE, dtype=np.uint64))
-            self.hash = (sums[self.end] - sums[self.start]) * back[self.start]
+        self.hash = _hashes(lower, self.start, self.end)
         letters = np.concatenate([[0], np.cumsum(kind == 1)])
         self.latin = (self.run == 1) & (letters[self.end] > letters[self.start])
         self.codes, self.lower = codes, lower.astype("<u4")
@@ -195,6 +196,20 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base and of its inverse."""
+    return np.cumprod(np.full(n, _BASE, dtype=np.uint64)), np.cumprod(np.full(n, _INVERSE, dtype=np.uint64))
+
+
+def _hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of code points, the same wherever a run stands."""
+    power, back = _powers(max(1 << 20, len(codes) + 1))  # one table for all but very long texts
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(codes.astype(np.uint64, copy=False) * power[: len(codes)])])
+        return (sums[end] - sums[start]) * back[start]
+
+
 def word_hash(word: str) -> int:
     """The hash by which a batch knows a word."""
     out, power = 0, int(_BASE)
@@ -229,6 +244,10 @@ class _Tables:
 
         self.sign, self.blank, self.hyphen = of(_KATA_MIS), of(" \t　\r"), of(HYPHENS)
         self.pair, self.odd = of({*KANJI, *KANJI.values()}), of("OlIS")
+        self.space = of(c for c in map(chr, range(0x3001)) if c.isspace())
+        self.first, self.last = of(_DIGITS + "Pp"), of(_HEAD_ENDS)  # beside a title
+        self.fold = np.arange(top, dtype="<u4")
+        self.fold[[ord(k) for k in _FOLD]] = [ord(v) for v in _FOLD.values()]
 
 
 @lru_cache(maxsize=1)
@@ -236,8 +255,8 @@ def _tables() -> _Tables:
     return _Tables()
 
 
-def batches_of(texts: list[str | None], most: int = 600_000) -> Iterator[tuple[list[int], Batch]]:
-    """Row numbers and words of runs of rows of up to about ``most`` characters; rows without text are left out."""
+def runs_of(texts: list[str | None], most: int = 600_000) -> Iterator[tuple[list[int], list[str]]]:
+    """Row numbers and texts of runs of rows of up to about ``most`` characters; rows without text are left out."""
     rows: list[int] = []
     held: list[str] = []
     size = 0
@@ -247,9 +266,15 @@ def batches_of(texts: list[str | None], most: int = 600_000) -> Iterator[tuple[l
             held.append(x)
             size += len(x)
             if size >= most:
-                yield rows, Batch(held)
+                yield rows, held
                 rows, held, size = [], [], 0
     if rows:
+        yield rows, held
+
+
+def batches_of(texts: list[str | None], most: int = 600_000) -> Iterator[tuple[list[int], Batch]]:
+    """The same with the words of each run."""
+    for rows, held in runs_of(texts, most):
         yield rows, Batch(held)
 
 
@@ -335,9 +360,8 @@ class Lexicon(NamedTuple):
     pairs: frozenset[str] = frozenset()
 
 
-def _filter(words: DataFrame) -> bytes:
-    """A bit for the checksum of each ``key``; up to ``FILTER`` bits, whatever the number of words."""
-    bit = F.crc32("key") % FILTER
+def _filter(words: DataFrame, bit: Column) -> bytes:
+    """The bits that ``bit`` names, below ``FILTER``: as many places whatever the number of words."""
     slots = words.select(F.floor(bit / 64).cast("int").alias("slot"), (bit % 64).cast("int").alias("b"))
     bits = np.zeros(FILTER // 64, dtype="<i8")
     for r in slots.groupBy("slot").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("w")).toLocalIterator():
@@ -353,7 +377,7 @@ def links(units: DataFrame) -> DataFrame:
     """
     by = F.pandas_udf(lambda s: s.map(known_by), "string")
     words = checkpointed(units.where(F.col("n") >= max(LEAST, RATIO)).select(F.col("unit").alias("word"), F.col("n").alias("of"), by("unit").alias("key")))  # a form occurs once at least
-    known = _filter(words)
+    known = _filter(words, F.crc32("key") % FILTER)
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
@@ -626,18 +650,20 @@ def hyphenated(lines: list[str], pages: list[bool]) -> bool:
 
 def fold_title(line: str) -> str:
     """A line or title without white space, numbers and chapter at its ends, and with easily misread glyphs made one."""
-    x = re.sub(r"\s+", "", line)
+    x = "".join(line.split())
     before = None
     while before != x and x:
         before = x
-        x = _HEAD_REST.sub("", x)
+        if m := _HEAD_FIRST.match(x):
+            x = x[m.end() :]
+        if x and x[-1] in _HEAD_ENDS:
+            core = len(x.rstrip(_HEAD_SIGNS))
+            x = x[:core] + _HEAD_LAST.sub("", x[core:])
     return x.translate(_FOLDED)
 
 
 _FOLD = {k: v for k, v in KATAKANA.items() if k not in "ンシ"} | {k: v for k, v in KANJI.items() if v not in KANJI or KANJI[v] != k} | {"l": "1", "I": "1", "O": "0", "S": "5"}
 _FOLDED = str.maketrans(_FOLD)
-#: The same for a whole text: white space but line ends removed too.
-_FOLDED_TEXT = str.maketrans(_FOLD | {c: "" for c in map(chr, range(0x3001)) if c.isspace() and c != "\n"})
 _HYPHEN_END = re.compile(rf"[{HYPHENS}][ 　\t]*\r?\n")
 
 
@@ -654,27 +680,85 @@ def titles(files: DataFrame) -> DataFrame:
     return both.select("file", fold("t").alias("head")).where(F.length("head") >= 4).distinct()
 
 
-def _known_titles(heads: DataFrame) -> dict[str, list[str]] | None:
+def _hashes_of(heads: list[str]) -> np.ndarray:
+    """The hash of each string."""
+    size = np.cumsum([0, *map(len, heads)])
+    return _hashes(np.frombuffer("".join(heads).encode("utf-32-le", "surrogatepass"), dtype="<u4"), size[:-1], size[1:])
+
+
+class Heads:
+    """Which strings may be folded titles: by their sorted hashes, or beyond ``MOST_TITLES`` by a filter of fixed size."""
+
+    def __init__(self, hashes: np.ndarray | None, bits: bytes, least: int, most: int):
+        self._hashes, self._bits, self.least, self.most = hashes, bits, least, most
+
+    @classmethod
+    def of(cls, heads: list[str]) -> Heads:
+        return cls(np.unique(_hashes_of(heads)), b"", min(map(len, heads), default=4), max(map(len, heads), default=0))
+
+    @classmethod
+    def filtered(cls, heads: DataFrame) -> Heads:
+        bit = F.pandas_udf(lambda s: pd.Series(cls._bit(_hashes_of(list(s)))), "long")
+        size = heads.agg(F.min(F.length("head")).alias("least"), F.max(F.length("head")).alias("most")).first()
+        return cls(None, _filter(heads, bit("head")), size["least"] or 4, size["most"] or 0)
+
+    @staticmethod
+    def _bit(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(32)).astype(np.int64) % FILTER
+
+    def may_be(self, hashes: np.ndarray) -> np.ndarray:
+        """Which hashes are those of a title, or by the filter may be."""
+        if self._hashes is not None:
+            return _among(hashes, self._hashes)
+        bit = self._bit(hashes)
+        return (np.frombuffer(self._bits, dtype=np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+    def found(self, texts: list[str | None]) -> Iterator[tuple[int, str]]:
+        """The number of each text that has a line that may fold to a title, with the folded line, for every such line.
+
+        Lines are folded on arrays, many texts at once. Only those that begin
+        or end as what stands beside a title does are folded one by one.
+        """
+        t = _tables()
+        for rows, held in runs_of(texts):
+            codes = np.frombuffer("".join(x + "\n" for x in held).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            solid, at = ~t.space[codes], np.flatnonzero(codes == 10)
+            end = np.cumsum(solid)[at]
+            start = np.concatenate([[0], end[:-1]])
+            codes = codes[solid]
+            line = np.flatnonzero(end - start >= self.least)
+            dressed = t.first[codes[start[line]]] | t.last[codes[end[line] - 1]]
+            plain, dressed = line[~dressed], line[dressed]
+            plain = plain[end[plain] - start[plain] <= self.most]
+            folded = t.fold[codes]
+            plain = plain[self.may_be(_hashes(folded, start[plain], end[plain]))]
+            met = [(k, folded[start[k] : end[k]].tobytes().decode("utf-32-le", "surrogatepass")) for k in plain.tolist()]
+            bare = [(k, h) for k in dressed.tolist() if self.least <= len(h := fold_title(codes[start[k] : end[k]].tobytes().decode("utf-32-le", "surrogatepass"))) <= self.most]
+            met += [x for x, ok in zip(bare, self.may_be(_hashes_of([h for _, h in bare])), strict=True) if ok]
+            bounds = np.cumsum([len(x) + 1 for x in held])
+            of = np.searchsorted(bounds, at[[k for k, _ in met]], side="right") if met else []
+            yield from ((rows[i], h) for i, (_, h) in zip(of, met, strict=True))
+
+
+def _known_titles(heads: DataFrame) -> dict[str, set[str]] | None:
     """Titles by file, or None if there are more than ``MOST_TITLES``."""
     rows = heads.limit(MOST_TITLES + 1).collect()
     if len(rows) > MOST_TITLES:
         return None
-    out: dict[str, list[str]] = {}
+    out: dict[str, set[str]] = {}
     for r in rows:
-        out.setdefault(r["file"], []).append(r["head"])
+        out.setdefault(r["file"], set()).add(r["head"])
     return out
 
 
-def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, list[str]] | None, sizes: tuple[int, int] = (4, 0), key: str = "id", text: str = "text", file: str = "source_file") -> DataFrame:
+def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, set[str]] | None, heads: Heads, key: str = "id", text: str = "text", file: str = "source_file") -> DataFrame:
     """``(key, noise, file, head)``: the kinds of noise of each text.
 
     A running head is a line whose folded form is a folded title of the file.
-    With ``known`` titles it is found here, in texts in whose folded form a
-    title occurs. Without them every line that folds to a length some title
-    has (``sizes``) comes out as a possible head, with its folded form.
+    With ``known`` titles it is found here. Without them every line that may
+    be one of ``heads`` comes out as a possible head, with its folded form.
     """
     kind = dict(df.dtypes)[key]
-    least, most = sizes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(lexicon)
@@ -695,15 +779,11 @@ def scan(df: DataFrame, lexicon: Lexicon, known: dict[str, list[str]] | None, si
                         flows[i] = _flow(x)
                     if hyphen and hyphenated(lines, pages):
                         out.append((keys[i], "hyphen", files[i], None))
-                else:
-                    lines = [x]
+            for i, head in set(heads.found(texts)):
                 if known is None:
-                    heads = {fold_title(line) for line in lines}
-                    out.extend((keys[i], "header", files[i], h) for h in heads if least <= len(h) <= most)
-                elif own := known.get(files[i]):
-                    folded = x.translate(_FOLDED_TEXT)
-                    if any(t in folded for t in own) and any(fold_title(line) in own for line in lines):
-                        out.append((keys[i], "header", files[i], None))
+                    out.append((keys[i], "header", files[i], head))
+                elif head in known.get(files[i], ()):
+                    out.append((keys[i], "header", files[i], None))
             for rows, words in batches_of(flows):
                 for d in reader.suspects(words).tolist():
                     i = rows[d]
@@ -720,14 +800,16 @@ def noise(df: DataFrame, files: DataFrame, lexicon: Lexicon | None = None, key:
 
     Null and blank texts have none. Without a lexicon it is learned from
     ``df``. Titles go to the workers if there are at most ``MOST_TITLES`` of
-    them; beyond that the lines of a title's length meet them by file and
-    folded form, in rows of a few dozen bytes spread by both.
+    them; beyond that a filter of fixed size goes there, and the few lines it
+    lets through meet the titles by file and folded form, in rows of a few
+    dozen bytes spread by both.
     """
     lexicon = lexicon or learn(df, text)
     heads = titles(files)
     known = _known_titles(heads)
-    size = heads.agg(F.min(F.length("head")).alias("least"), F.max(F.length("head")).alias("most")).first() if known is None else None
-    found = scan(df, lexicon, known, (size["least"], size["most"]) if size and size["most"] else (4, 0), key, text, file)
+    if known is None:
+        heads = checkpointed(heads)
+    found = scan(df, lexicon, known, Heads.filtered(heads) if known is None else Heads.of([h for own in known.values() for h in own]), key, text, file)
     if known is not None:
         return found.select(key, "noise").distinct()
     found = checkpointed(found)
@@ -741,9 +823,8 @@ def tidy(text: str, heads: set[str]) -> str:
         return text
     lines = text.split("\n")
     pages = page_lines(lines)
-    headed = bool(heads) and (lambda folded: any(h in folded for h in heads))(text.translate(_FOLDED_TEXT))
-    if headed or any(pages):
-        text = "\n".join(x for x, p in zip(lines, pages, strict=True) if not p and not (headed and fold_title(x) in heads))
+    if heads or any(pages):
+        text = "\n".join(x for x, p in zip(lines, pages, strict=True) if not p and not (heads and fold_title(x) in heads))
     if _HYPHEN_END.search(text):
         text = _SPLIT_WORD.sub(r"\1\2 ", text)
     return _JP_BREAK.sub("", text)
@@ -780,12 +861,15 @@ def repaired(df: DataFrame, files: DataFrame, lexicon: Lexicon | None = None, ke
     if heads.limit(MOST_TITLES + 1).count() <= MOST_TITLES:
         rows = rows.join(F.broadcast(wanted), "f", "left")
     else:  # a file may hold a third of the texts: each of its titles stands in SALTS places
-        rows = rows.withColumn("s", F.pmod(F.xxhash64("k"), F.lit(SALTS))).join(wanted.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["f", "s"], "left").drop("s")
+        places = wanted.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("s", F.pmod(F.xxhash64("k"), F.lit(SALTS))).join(places.hint("merge"), ["f", "s"], "left").drop("s")  # else broadcast by the size before the places
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(lexicon)
         for b in batches:
-            texts = [None if x is None else tidy(x, set(h) if h is not None else set()) for x, h in zip(b["x"], b["heads"], strict=True)]
+            owned = [set(h) if h is not None else set() for h in b["heads"]]
+            headed = {i for i, h in Heads.of(list(set().union(*owned))).found(list(b["x"])) if h in owned[i]}
+            texts = [None if x is None else tidy(x, owned[i] if i in headed else set()) for i, x in enumerate(b["x"])]
             for rows, words in batches_of(texts):
                 for d in reader.suspects(words).tolist():
                     texts[rows[d]] = corrected(texts[rows[d]], reader)

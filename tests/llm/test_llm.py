@@ -417,6 +417,20 @@ def test_scan_heads_of_any_form(spark, monkeypatch):
         assert fixed["a"] == "本文。" and fixed["b"] == "本文" and fixed["d"] == "振動技報" and fixed["e"] == ""
 
 
+def test_scan_heads_among_many_titles(spark):
+    """Whether titles are sent or by a filter, just the lines that fold to one are let through, and folding takes no longer for long numbers."""
+    assert scans.fold_title("1" * 60 + "軸受の報告") == "軸受の報告" and scans.fold_title("技術報告" + "7" * 60 + "x") == "技術報告" + "7" * 60 + "x"
+    heads = spark.createDataFrame([(f"f{i}.pdf", scans.fold_title(t)) for i, t in enumerate(["技術報告 第一号", "SoIl Report", "回転機械の振動"])], "file string, head string")
+    titles = {r["head"] for r in heads.collect()}
+    rng = random.Random(3)
+    lines = ["技術報告 第一号", "P.3 技 術報告第一号", "回転機械の振動 第4章 - 12", "Vol.7 回転機械の振動", "回転機械の振動は", "So1l\u2003Report|", "", "本文。", "\ud800", "1" * 60, "(2024年)", "熟", "\0"]
+    texts = [None, "", *("\n".join(rng.choice(lines) for _ in range(rng.randint(1, 6))) for _ in range(300))]
+    want = sorted((i, h) for i, x in enumerate(texts) if x for h in map(scans.fold_title, x.split("\n")) if h in titles)
+    for known in (scans.Heads.of(sorted(titles)), scans.Heads.filtered(heads)):
+        assert sorted(known.found(texts)) == want and list(known.found([None, ""])) == []
+    assert list(scans.Heads.of([]).found(texts)) == list(scans.Heads.filtered(heads.limit(0)).found(texts)) == []
+
+
 def test_scan_lines_with_many_blanks():
     words = scans.Batch(["熱交換" + " " * 5000 + "\n" + "　" * 3000 + "器 tempera-" + " " * 99 + "\n" + " " * 99 + "ture"])
     assert [words.text(k) for k in range(len(words.start))] == ["熱交換器", "temperature"]
