@@ -15,7 +15,8 @@ The automaton is built for every page, of whatever length, for many pages at
 once. Its states are the nodes of the suffix tree of the reversed page, whose
 edges are the suffix links: sorting all reversed prefixes by doubling, and the
 common prefixes of neighbours in that order, give every state that occurs
-often with its longest string and its end positions.
+three times with its longest string and its end positions. Clauses are held
+against all of them; coverage and density read those that are often.
 """
 
 from __future__ import annotations
@@ -36,10 +37,12 @@ TIMES, SHARE = 3, 0.3
 #: Labelled pages generated for training.
 PAGES = 1200
 _SLOTS = 1 << 20
+#: Occurrences of strings that are held against clauses at once.
+_TOGETHER = 1 << 19
 
 
 class States(NamedTuple):
-    """States of the suffix automata of many pages that occur often, from short to long: page, length of the longest string, and end positions.
+    """States of the suffix automata of many pages that occur ``TIMES`` or more, from short to long: page, length of the longest string, and end positions.
 
     The ends of state ``k`` are ``ends[left[k]:right[k] + 1]``, places in the
     joined text right after an occurrence. A state's ends are among those of
@@ -70,36 +73,37 @@ def join(texts: list[str]) -> Joined:
 
 
 def often(size: np.ndarray, per: int) -> np.ndarray:
-    """How often a string must occur in a page of so many characters."""
-    return np.maximum(3, size // per)
+    """How often a string must occur in a page of so many characters to count for its coverage."""
+    return np.maximum(TIMES, size // per)
 
 
-def states(j: Joined, shortest: int = 2, per: int = 100) -> States:
-    """Every state of length ``shortest`` or more that occurs three times and once in ``per`` characters.
+def states(j: Joined, shortest: int = 2) -> States:
+    """Every state of length ``shortest`` or more that occurs ``TIMES`` or more, however long the page.
 
     Places are ranked by the strings that begin there, of length 3, 6, 12 and
     so on, and refined only while so many of a page share a rank: the work
     follows what recurs. The ranks of all lengths then give the common length
-    of two neighbours in the order, exactly as far as it recurs often.
+    of two neighbours in the order, exactly as far as it recurs so often.
     """
     n = len(j.codes)
     size = j.stop - j.start
     page = np.repeat(np.arange(len(size)), size + 1)
     # reversed, what begins here ends there; a zero also stands before the first page
-    back, owner, needs = (np.concatenate([x[::-1], [end]]) for x, end in ((j.codes, 0), (page, -1), (often(size, per)[page], n)))
+    back, owner = (np.concatenate([x[::-1], [end]]) for x, end in ((j.codes, 0), (page, -1)))
     n += 1
 
     def ahead(x: np.ndarray, by: int, fill: int) -> np.ndarray:
         return np.concatenate([x[by:], np.full(min(by, len(x)), fill, dtype=x.dtype)])
 
     # two characters that recur too seldom begin nothing that recurs often; hashes that meet only let more through
-    one, two = ahead(back, 1, 0), ahead(back, 2, 0)
+    one = ahead(back, 1, 0)
     slot = ((back << 21 | one) * 0x9E3779B1 + owner * 0x85EBCA77 & 0x7FFFFFFF) % _SLOTS
-    sa = np.flatnonzero((back != 0) & (one != 0) & (np.bincount(slot, minlength=_SLOTS)[slot] >= needs))
-    kinds = np.unique(back)
+    sa = np.flatnonzero((back != 0) & (one != 0) & (np.bincount(slot, minlength=_SLOTS)[slot] >= TIMES))
+    there = np.bincount(back) > 0
+    kinds = np.flatnonzero(there)
     bits = len(kinds).bit_length()
-    kind = np.searchsorted(kinds, back)
-    small = kind[sa] << 2 * bits | np.searchsorted(kinds, one[sa]) << bits | np.searchsorted(kinds, two[sa])
+    kind = (np.cumsum(there) - 1)[back]
+    small = kind[sa] << 2 * bits | ahead(kind, 1, 0)[sa] << bits | ahead(kind, 2, 0)[sa]
     if 3 * bits + len(size).bit_length() < 63:
         key = owner[sa] << 3 * bits | small
         turn = np.argsort(key)
@@ -113,7 +117,7 @@ def states(j: Joined, shortest: int = 2, per: int = 100) -> States:
     rank = np.full(n, -1, dtype=np.int64)
     rank[sa] = np.flatnonzero(new)[group]
     live = np.zeros(n, dtype=bool)
-    live[sa] = (np.bincount(group)[group] if len(sa) else group) >= needs[sa]
+    live[sa] = (np.bincount(group)[group] if len(sa) else group) >= TIMES
     levels, width = [], 3
     while live.any():
         levels.append((width, np.where(live, rank, -1)))
@@ -130,8 +134,8 @@ def states(j: Joined, shortest: int = 2, per: int = 100) -> States:
         new[1:] = (old[1:] != old[:-1]) | (key[1:] != key[:-1])
         first = np.flatnonzero(new)
         group = np.cumsum(new) - 1
-        begun = np.searchsorted(old, old, side="left")  # where the former group begins
-        still = same & live[far] & (np.bincount(group)[group] >= needs[own])
+        begun = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), np.arange(len(old)), 0))  # where the former group begins
+        still = same & live[far] & (np.bincount(group)[group] >= TIMES)
         sa[old + np.arange(len(own)) - begun] = own
         rank[own] = old + first[group] - begun
         live[:] = False
@@ -153,29 +157,31 @@ def states(j: Joined, shortest: int = 2, per: int = 100) -> States:
         lcp[alive] += 1
         a[alive] = np.minimum(a[alive] + 1, n - 1)
         b[alive] = np.minimum(b[alive] + 1, n - 1)
-    return _states(order, lcp, needs, owner, shortest, n - 1)
+    return _states(order, lcp, owner, shortest, n - 1)
 
 
-def _states(order: np.ndarray, lcp: np.ndarray, needs: np.ndarray, owner: np.ndarray, shortest: int, n: int) -> States:
+def _states(order: np.ndarray, lcp: np.ndarray, owner: np.ndarray, shortest: int, n: int) -> States:
     """The runs of neighbours that share their beginning: one state each, from short strings to long ones."""
-    deep = np.concatenate([[False], lcp >= shortest, [False]])
-    edge = np.flatnonzero(deep[1:] != deep[:-1])
-    found: list[tuple[int, int, int]] = []  # length, first and last place in the order
-    for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        least = int(needs[order[lo]])
-        if hi - lo + 1 < least:
-            continue
-        open_: list[tuple[int, int]] = []  # length, first place
-        for i, x in enumerate(lcp[lo:hi].tolist() + [0], lo):
-            left = i
-            while open_ and open_[-1][0] > x:
-                length, left = open_.pop()
-                if i - left + 1 >= least:
-                    found.append((length, left, i))
-            if x and (not open_ or open_[-1][0] < x):
-                open_.append((x, left))
-    found.sort()
-    length, left, right = (np.array([f[i] for f in found], dtype=np.int64) for i in range(3))
+    deep = np.concatenate([[0], np.where(lcp >= shortest, lcp, 0), [0]])
+    deep[1:-1] = np.minimum(deep[1:-1], np.maximum(deep[:-2], deep[2:]))  # what just two neighbours share is no state
+    at = np.flatnonzero(deep[1:] != deep[:-1])
+    length, left, right = [], [], []
+    open_: list[tuple[int, int]] = []  # length, first place
+    top = 0
+    for i, x in zip(at.tolist(), deep[at + 1].tolist(), strict=True):
+        first = i
+        while top > x:
+            size, first = open_.pop()
+            length.append(size)
+            left.append(first)
+            right.append(i)
+            top = open_[-1][0] if open_ else 0
+        if x > top:
+            open_.append((x, first))
+            top = x
+    length, left, right = (np.array(f, dtype=np.int64) for f in (length, left, right))
+    turn = np.argsort(length * (n + 1) + left)
+    length, left, right = length[turn], left[turn], right[turn]
     return States(owner[order[left]] if len(left) else left, length, left, right, n - order)
 
 
@@ -192,12 +198,14 @@ def keywords(texts: list[str], clauses: tuple[np.ndarray, np.ndarray] | None = N
     """The recurring maximal substrings of pages, from their automata.
 
     Strings of Latin letters, digits and signs count from four characters.
-    ``clauses`` are begins and ends in the joined pages, in order. Every
-    recurring substring is held against every clause that holds it.
+    Coverage and density are by those that occur once in ``per`` characters, as
+    any two letters recur in a long page. ``clauses`` are begins and ends in the
+    joined pages, in order. Every recurring substring is held against every
+    clause that holds it, however seldom it is for the page's length.
     """
     j = join(texts)
     text = "\0".join(x.replace("\0", " ") for x in texts) + "\0"
-    s = states(j, shortest, per)
+    s = states(j, shortest)
     n = len(j.codes)
     page = np.repeat(np.arange(len(texts)), j.stop - j.start + 1)
     blank, bound, sign = (_marks(j.codes, form) for form in (r"[\s\0]", r"[ぁ-んー、。\s]", r"[\W\d_]"))
@@ -217,12 +225,14 @@ def keywords(texts: list[str], clauses: tuple[np.ndarray, np.ndarray] | None = N
         return sums[np.maximum(end - trail, begin + lead)] - sums[begin + lead]
 
     ok = (bare >= shortest) & ((bare >= 4) | (among(j.codes > 127) > 0)) & (among(~bound) > 0) & (among(~sign) > 0)
-    own = np.flatnonzero(ok)
+    tried = np.flatnonzero(ok)
+    own = tried[(s.right - s.left + 1)[tried] >= often(j.stop - j.start, per)[s.page[tried]]]
     # coverage: the longest state at each end
     best = np.zeros(n + 1, dtype=np.int64)
     _paint(best, s, own)
     ends = np.flatnonzero(best)
     covered = np.bincount(ends - best[ends], minlength=n + 1) - np.bincount(ends, minlength=n + 1)
+    stuffed = _stuffed(s, tried, bare, trail, clauses, page) if clauses else np.zeros(0, dtype=bool)
     inside = (np.cumsum(covered)[:n] > 0) & ~blank
     # the densest string of each page
     share = np.minimum(1.0, (s.right - s.left + 1)[own] * bare[own] / total[s.page[own]])
@@ -232,7 +242,6 @@ def keywords(texts: list[str], clauses: tuple[np.ndarray, np.ndarray] | None = N
     for k in lead_of.tolist():
         i = own[k]
         density[s.page[i]], densest[s.page[i]] = share[k], text[begin[i] + lead[i] : end[i] - trail[i]]
-    stuffed = _stuffed(s, own, bare, trail, clauses, page) if clauses else np.zeros(0, dtype=bool)
     return Keywords(np.bincount(page, weights=inside, minlength=len(texts)) / total, density, densest, stuffed)
 
 
@@ -278,8 +287,8 @@ def _paint(best: np.ndarray, s: States, own: np.ndarray) -> None:
 def _stuffed(s: States, own: np.ndarray, bare: np.ndarray, trail: np.ndarray, clauses: tuple[np.ndarray, np.ndarray], page: np.ndarray) -> np.ndarray:
     """Which clauses say one of the states' strings ``TIMES`` or more and consist of it to ``SHARE`` or more.
 
-    From short strings to long ones: a page is left when its clauses that
-    aren't stuffed yet are too short for the string.
+    From short strings to long ones, many at once: a page is left when its
+    clauses that aren't stuffed yet are too short for the string.
     """
     begins, stops = clauses
     out = np.zeros(len(begins), dtype=bool)
@@ -287,35 +296,42 @@ def _stuffed(s: States, own: np.ndarray, bare: np.ndarray, trail: np.ndarray, cl
         return out
     size = stops - begins
     of = page[begins]
-    bounds = np.searchsorted(of, np.arange(int(page[-1]) + 2))
-    longest = np.zeros(int(page[-1]) + 1, dtype=np.int64)
-    np.maximum.at(longest, of, size)
-    for k in own.tolist():
-        p, wide = s.page[k], bare[k]
-        if wide * TIMES > longest[p]:
-            continue
-        last = np.sort(s.ends[s.left[k] : s.right[k] + 1]) - trail[k]
+    clause = np.full(len(page) + 1, -1)  # the clause at each place
+    clause[begins] = np.arange(len(begins))
+    clause = np.maximum.accumulate(clause)
+    while len(own):
+        longest = np.zeros(int(page[-1]) + 1, dtype=np.int64)
+        np.maximum.at(longest, of[~out], size[~out])
+        own = own[bare[own] * TIMES <= longest[s.page[own]]]
+        upto = max(1, int(np.searchsorted(np.cumsum(s.right[own] - s.left[own] + 1), _TOGETHER)))
+        some, own = own[:upto], own[upto:]
+        n = s.right[some] - s.left[some] + 1
+        k = np.repeat(np.arange(len(some)), n)  # one row per occurrence
+        last = s.ends[np.arange(len(k)) + np.repeat(s.left[some] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)] - trail[some][k]
+        wide = bare[some][k]
         begin = last - wide
-        c = np.searchsorted(begins, begin, side="right") - 1
-        fit = (c >= 0) & (last <= stops[np.maximum(c, 0)]) & ~out[np.maximum(c, 0)]
-        begin, last, c = begin[fit], last[fit], c[fit]
-        if len(c) < TIMES:
-            continue
-        if (begin[1:] < last[:-1]).any():  # overlapping: one after the other, as they are read
-            kept, at = [], -1
-            for i, (x, y) in enumerate(zip(begin.tolist(), last.tolist(), strict=True)):
+        c = clause[begin]
+        fit = (c >= 0) & (last <= stops[c]) & ~out[c] & (wide * TIMES <= size[c]) & (n[k] * wide >= SHARE * size[c])
+        k, begin, c = k[fit], begin[fit], c[fit]
+        turn = np.argsort(k * len(page) + begin)
+        k, begin, c = k[turn], begin[turn], c[turn]
+        new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])) if len(k) else k
+        times = np.diff(np.concatenate([new, [len(k)]]))
+        wide, which = bare[some][k[new]], c[new]
+        hit = (times >= TIMES) & (times * wide >= SHARE * size[which])
+        new, times, wide, which = new[hit], times[hit], wide[hit], which[hit]
+        over = np.concatenate([(begin[1:] - begin[:-1] < bare[some][k[1:]]) & (k[1:] == k[:-1]), [False]]) if len(k) else k
+        over = np.concatenate([[0], np.cumsum(over)])
+        over = over[new + np.maximum(times - 1, 0)] > over[new]
+        out[which[~over]] = True
+        for i in np.flatnonzero(over).tolist():  # overlapping: one after the other, as they are read
+            if out[which[i]]:
+                continue
+            count, at, w = 0, -1, int(wide[i])
+            for x in begin[new[i] : new[i] + times[i]].tolist():
                 if x >= at:
-                    kept.append(i)
-                    at = y
-            c = c[kept]
-        new = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        times = np.diff(np.concatenate([new, [len(c)]]))
-        which = c[new]
-        hit = which[(times >= TIMES) & (times * wide >= SHARE * size[which])]
-        if len(hit):
-            out[hit] = True
-            mine = slice(bounds[p], bounds[p + 1])
-            longest[p] = size[mine][~out[mine]].max(initial=0)
+                    count, at = count + 1, x + w
+            out[which[i]] = count >= TIMES and count * w >= SHARE * size[which[i]]
     return out
 
 
@@ -352,12 +368,19 @@ _ENTRY = re.compile(
 )
 _LABEL = re.compile(r"\s*(?:[^\s:：|>#]{1,24}[:：])\s*$")
 _PRICE = re.compile(r"\d[\d,]*\s*円|[¥￥$]\s*\d|★|☆|カート|残り\s*\d+\s*点")
+#: One of these stands in every price.
+_PRICED = ("円", "¥", "￥", "$", "★", "☆", "カート", "残り")
 _CHAIN = re.compile(r"[#＃>＞|｜→»]|^\[.*\]$|\[\d+\]|\(\d+\)|\[[^\]]+\]\(|、\S{1,12}、")
 
 
+def _linked(s: str) -> bool:
+    """Whether a text may hold an address."""
+    return "://" in s or "www." in s
+
+
 def _has_clause(s: str) -> bool:
     """Whether a sentence-like stretch has clause structure in one of the languages."""
-    body = _URL.sub("", s).strip()
+    body = (_URL.sub("", s) if _linked(s) else s).strip()
     if len(body) < 6:
         return False
     if _KANA.search(body):
@@ -388,14 +411,15 @@ class Line(NamedTuple):
 def parse(text: str) -> list[Line]:
     """The page's lines, taken apart into clauses and items."""
     out = []
+    linked, priced_at_all = _linked(text), any(x in text for x in _PRICED)
     for m in _LINE.finditer(text):
         line = m[0]
         bare = line.strip()
         if not bare:
             continue
         at = m.start() + len(line) - len(line.lstrip())
-        urls = _URL.search(bare)
-        priced = _PRICE.search(bare)
+        urls = linked and _URL.search(bare)
+        priced = priced_at_all and _PRICE.search(bare)
         if not urls and not priced and _ENTRY.match(bare):
             out.append(Line(len(bare), "entry", False, [], 0))
             continue
@@ -407,7 +431,7 @@ def parse(text: str) -> list[Line]:
             if not s:
                 continue
             begin = at + part.start() + len(whole) - len(whole.lstrip())
-            for p, offset in _english_sentences(s) if s.isascii() else [(s, 0)]:
+            for p, offset in _english_sentences(s) if "." in s else [(s, 0)]:
                 if _has_clause(p):
                     clauses.append((begin + offset, begin + offset + len(p)))
                 elif not urls and not priced and len(bare) <= 40 and p == bare and not _CHAIN.search(p) and p.count(" ") <= 2:
@@ -418,10 +442,16 @@ def parse(text: str) -> list[Line]:
     return out
 
 
+#: Where an English sentence ends, be it followed by a blank or, if it has clause structure, not.
+_ENGLISH_END = re.compile(r"(?<=[a-z0-9%)]\.)\s+(?=[A-Z])|(?<=[a-z]{2}\.)(?=[A-Z][a-z]* )")
+
+
 def _english_sentences(s: str) -> list[tuple[str, int]]:
     """English sentences of a stretch with their offsets."""
     out, at = [], 0
-    for m in re.finditer(r"(?<=[a-z0-9%)]\.)\s+(?=[A-Z])", s):
+    for m in _ENGLISH_END.finditer(s):
+        if not m[0] and not _has_clause(s[at : m.start()]):
+            continue
         out.append((s[at : m.start()], at))
         at = m.end()
     return [*out, (s[at:], at)]

@@ -572,6 +572,59 @@ def test_every_keyword_is_tried():
     assert len(got) == 4 * len(names) and got.all()
 
 
+def test_clauses_are_stuffed_however_long_the_page():
+    """Sentences each stuffed with a word of its own are found, though each word is rare in the whole page."""
+    rng = random.Random(9)
+    names = ["".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(5)) for _ in range(400)]
+    ends = ["点検する", "測る", "使う", "調べる", "求める", "比べる"]
+    for n in (5, 60, 400):
+        stuffed = [f"{k}{rng.choice('はも')}{k}{rng.choice('のと')}{k}を{k}で{rng.choice(ends)}。" for k in names[:n]]
+        plain = [f"第{i}の装置では、温度が{rng.randint(10, 99)}度に上昇した後で{rng.choice(ends)}。" for i in range(n)]
+        text = "\n".join(x for both in zip(stuffed, plain, strict=True) for x in both)
+        spans = [c for line in stuffing.parse(text) for c in line.clauses]
+        got = stuffing.keywords([text], (np.array([b for b, _ in spans]), np.array([e for _, e in spans]))).stuffed
+        assert got.tolist() == [True, False] * n
+        assert stuffing.measure(["\n".join(stuffed)])[0].score > 0.5
+
+
+def test_stuffed_clauses_against_brute_force(monkeypatch):
+    """Overlapping occurrences count as they are read, however many strings are tried at once."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("軸受a5、") for _ in range(rng.randint(1, 60))) for _ in range(60)] + ["軸受軸受軸受軸受軸", "軸" * 30]
+    joined = "\0".join(texts) + "\0"
+    spans, at = [], 0
+    for x in texts:
+        cuts = sorted({0, len(x), *(rng.randint(0, len(x)) for _ in range(3))})
+        spans += [(at + a, at + b) for a, b in zip(cuts, cuts[1:])]
+        at += len(x) + 1
+    want = []
+    for b, e in spans:
+        page = joined[joined.rfind("\0", 0, b) + 1 : joined.find("\0", b)]
+        words = set()
+        for w in {page[i:k] for i in range(len(page)) for k in range(i + 2, len(page) + 1)}:
+            places = [i for i in range(len(page)) if page.startswith(w, i)]
+            if len(places) >= 3:
+                left = 0  # the maximal string with the same ends
+                while places[0] > left and len({page[i - left - 1] for i in places}) == 1:
+                    left += 1
+                words.add(page[places[0] - left : places[0]] + w)
+        words = [w for w in words if (len(w) >= 4 or not w.isascii()) and not stuffing._FILLER.fullmatch(w)]
+        want.append(any((n := joined[b:e].count(w)) >= stuffing.TIMES and n * len(w) >= stuffing.SHARE * (e - b) for w in words))
+    for together in (1, 100, 1 << 19):
+        monkeypatch.setattr(stuffing, "_TOGETHER", together, raising=False)
+        got = stuffing.keywords(texts, (np.array([b for b, _ in spans]), np.array([e for _, e in spans]))).stuffed
+        assert got.tolist() == want
+    assert 9 < sum(want) < len(want)
+
+
+def test_english_sentences_beside_other_signs():
+    """A degree sign or Japanese text in the line makes no one clause of several sentences."""
+    text = "Results agree with the bench test within 99 MPa. Results agree with the bench test within 5°C of it. Results agree with the bench test."
+    assert [text[b:e].split()[-1] for line in stuffing.parse(text) for b, e in line.clauses] == ["MPa.", "it.", "test."]
+    text = "Results agree with the test in the lab.Results agree with the test in the lab.試験の結果を表に示す。"
+    assert [text[b:e][:7] for line in stuffing.parse(text) for b, e in line.clauses] == ["Results", "Results"]
+
+
 def test_very_long_pages():
     for text in ("あ" * 300_000, "軸受は" * 60_000, "装置の温度を測定した。" * 20_000):
         assert stuffing.measure([text])[0].score >= 0
